@@ -7,7 +7,7 @@ verifies; whatever no stage resolves comes out by an anti-join as ``UNMATCHED``.
 Stages, over the distinct values only: (1) equal after normalisation (look-alike letters, invisible characters, case,
 "Book of", numerals in every style, letters misread as digits), to a name, abbreviation or alternative title; (2) a unique
 beginning of at least five letters; (3) the pigeonhole join on names and alternative titles, with k by the reference's length. The
-numeral of a series must agree in every stage. The best distance wins; two books at the best distance, or a beginning of
+numeral of a series must agree in every stage (only a title whose ordinal tells nothing apart is also looked up whole). The best distance wins; two books at the best distance, or a beginning of
 several books, mean no book: the value is unmatched.
 
 The canon is a fixed table: its strings, beginnings and segments are broadcast only if it has at most ``MOST_ROWS`` forms;
@@ -31,13 +31,22 @@ from .lookalikes import INVISIBLE, to_latin
 MOST_ROWS = 10_000
 UNMATCHED = "UNMATCHED"
 #: Greatest number of edits by the length of a reference string: (least length, k).
-EDITS = [(14, 4), (9, 3), (6, 2), (5, 1)]
+EDITS = [(12, 4), (9, 3), (6, 2), (5, 1)]
 LEAST_PREFIX = 5
 LONGEST = 200
 
 # Words and styles of numerals.
 ORDINALS = {"first": 1, "second": 2, "third": 3, "fourth": 4}
-NUMERAL = "first|second|third|fourth|[1-4](?:st|nd|rd|th)?|[il1][il1]?[il1]?|[il1]v"
+
+
+def slips(word: str) -> list[str]:
+    """``word`` and its forms with one letter lost or doubled, or two neighbours swapped."""
+    out = {word} | {word[:i] + word[i + 1 :] for i in range(len(word))} | {word[:i] + word[i] + word[i:] for i in range(len(word))}
+    return sorted(out | {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)})
+
+
+WORDS = "|".join(s for w in ORDINALS for s in slips(w))
+NUMERAL = WORDS + "|[1-4](?:st|nd|rd|th)?|[il1][il1]?[il1]?|[il1]v"
 
 
 def _quoted(s: str) -> str:
@@ -58,14 +67,14 @@ def normal_forms(source: str, value: str, duck: bool = False) -> str:
     plain = sub(plain, r"\([^)]*\)", " ")
     plain = sub(plain, r"[\s]+ch[.]?[\s]*$", "")
     plain = sub(plain, r"^[\s]*(?:the book of|book of|liber)[\s]+", "")
-    plain = sub(plain, r"^[\s]*(.*?),[\s]*(first|second|third|fourth) book of[\s.:]*$", f"{ref(2)} {ref(1)}")
+    plain = sub(plain, r"^[\s]*(.*?),[\s]*(" + WORDS + r") book of[\s.:]*$", f"{ref(2)} {ref(1)}")
     plain = f"trim({sub(plain, r'[^a-z0-9]+', ' ')})"
     plain = sub(plain, r"^([1-4](?:st|nd|rd|th)?)([a-z][a-z][a-z])", f"{ref(1)} {ref(2)}")
-    letters = lambda e: f"replace(replace(replace(translate({e}, '015 ', 'ols'), 'rn', 'm'), 'vv', 'w'), 'cl', 'd')"
+    letters = lambda e: f"replace(replace(translate({e}, '015 ', 'ols'), 'rn', 'm'), 'vv', 'w')"
     head, tail = f"^({NUMERAL}) +(.+)$", f"^(.*[a-z][a-z][a-z].*?) +({NUMERAL})$"
     style = f"CASE WHEN {_matches('plain', head, duck)} THEN regexp_extract(plain, {q(head)}, 1) WHEN {_matches('plain', tail, duck)} THEN regexp_extract(plain, {q(tail)}, 2) ELSE '' END"
     rest = f"CASE WHEN {_matches('plain', head, duck)} THEN regexp_extract(plain, {q(head)}, 2) WHEN {_matches('plain', tail, duck)} THEN regexp_extract(plain, {q(tail)}, 1) ELSE plain END"
-    words = " ".join(f"WHEN style = '{w}' THEN {n}" for w, n in ORDINALS.items())
+    words = " ".join(f"WHEN style IN ({', '.join(repr(x) for x in slips(w))}) THEN {n}" for w, n in ORDINALS.items())
     number = f"CASE {words} WHEN style = '' THEN 0 WHEN {_matches('style', '^[2-4]', duck)} THEN CAST(substr(style, 1, 1) AS INT) WHEN {_matches('style', '^1(st)?$', duck)} THEN 1 WHEN {_matches('style', 'v$', duck)} THEN 4 ELSE CAST(length(style) AS INT) END"
     return f"""(SELECT *, {number} AS num, {letters('rest')} AS name, {letters('plain')} AS raw FROM (
       SELECT *, {style} AS style, {rest} AS rest FROM (SELECT *, {plain} AS plain FROM {source})))"""
@@ -96,7 +105,7 @@ def mapping(values: DataFrame, canon: DataFrame) -> DataFrame:
     # at most 2 strings a row, a beginning a letter and 5 segments a string: what follows from a few rows stays few
     few = refs.limit(MOST_ROWS + 1).count() <= MOST_ROWS
     small = F.broadcast if few else lambda df: df
-    strings = small(run("SELECT num, name AS s, book, full FROM {refs} WHERE name <> '' UNION SELECT 0, raw, book, full FROM {refs} WHERE name <> ''", refs=refs))
+    strings = small(run("SELECT num, name AS s, book, full FROM {refs} WHERE name <> '' UNION SELECT 0, raw, book, full FROM {refs} WHERE name IN (SELECT name FROM {refs} GROUP BY name HAVING count(DISTINCT num) = 1) AND name <> ''", refs=refs))
     # a value is looked up with its numeral taken off and, as a whole, without one
     keys = run("SELECT value, num, name AS s FROM {forms} WHERE name <> '' UNION SELECT value, 0, raw FROM {forms} WHERE raw <> ''", forms=forms)
     exact = run(
@@ -191,7 +200,7 @@ vals AS (SELECT DISTINCT value FROM recs),
 forms AS (SELECT value, num, name, raw FROM {normal_forms('vals', 'value', True)}),
 typed AS (SELECT book, book AS s, true AS ful FROM canon_books UNION SELECT book, alt_title, true FROM canon_books WHERE alt_title IS NOT NULL UNION SELECT book, abbreviation, false FROM canon_books WHERE abbreviation IS NOT NULL),
 refs AS (SELECT DISTINCT book, num, name, raw, ful FROM {normal_forms('typed', 's', True)} WHERE name <> ''),
-strs AS (SELECT num, name AS s, book, ful FROM refs UNION SELECT 0, raw, book, ful FROM refs),
+strs AS (SELECT num, name AS s, book, ful FROM refs UNION SELECT 0, raw, book, ful FROM refs WHERE name IN (SELECT name FROM refs GROUP BY name HAVING count(DISTINCT num) = 1)),
 keys AS (SELECT value, num, name AS s FROM forms WHERE name <> '' UNION SELECT value, 0, raw FROM forms WHERE raw <> ''),
 exact AS (SELECT value, min(book) AS book, count(DISTINCT book) AS n, 'equal' AS stage FROM keys JOIN strs USING (num, s) GROUP BY value),
 lft AS (SELECT * FROM keys WHERE value NOT IN (SELECT value FROM exact)),
