@@ -1,7 +1,7 @@
 """Problem 8: per-document text statistics and fixed-threshold rules with a recorded reason for each failure.
 
-All statistics are built-in column expressions over one scan: no Python, no shuffle. The list of common words is a fixed
-table; it is read into a literal only if it has at most ``MOST_COMMON`` words, else joining would be needed and it raises.
+All statistics are vectorized over the code points of an Arrow batch of documents, in one scan without a shuffle. The list of
+common words is a fixed table; it is sent to the executors only if it has at most ``MOST_COMMON`` words, else it raises.
 
 Defined results: a null text has null statistics and no reasons (it is not judged); an empty or blank text has zero counts,
 zero shares and no reasons; texts of any length are measured whole; repeated documents give a row each, as delivered; columns of the input other
@@ -10,6 +10,12 @@ than the two named are kept out of the result, so clashing names do no harm.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,54 +41,150 @@ THRESHOLDS = {
     "form_sentence_words": 12,
 }
 
-WORD_GAP = r"[^\p{L}]+"
-LINE_END = r"\r\n|\r|\n"
-TERMINAL = r"[.!?]['\"”’)]*\s*$"
-BULLET = r"^\s*([•*‣◦-]|\d+[.)])\s"
+#: Whitespace is ASCII whitespace; letters, marks, numbers are the Unicode classes L, M, N.
+SPACE, LETTER, MARK, NUMBER, DIGIT, TERMINAL, CLOSER, BULLET, BREAK, OTHER = (1 << k for k in range(10))
+_CLASSES = np.full(sys.maxunicode + 1, 0xFFFF, np.uint16)  # 0xFFFF: not looked up yet
+#: Multiplier of the word hash; odd, so that its powers can be undone modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _class_of(c: str) -> int:
+    kind = unicodedata.category(c)[0]
+    return (
+        SPACE * (c in " \t\n\v\f\r")
+        | {"L": LETTER, "M": MARK, "N": NUMBER}.get(kind, 0)
+        | DIGIT * (c in "0123456789")
+        | TERMINAL * (c in ".!?")
+        | CLOSER * (c in "'\"”’)")
+        | BULLET * (c in "•*‣◦-")
+        | BREAK * (c in "\n\r")
+        | OTHER * (kind not in "LMN" and c not in " \t\n\v\f\r")
+    )
+
+
+def classes(codes: np.ndarray) -> np.ndarray:
+    """The class bits of each code point; new code points are looked up once a process."""
+    out = _CLASSES[codes]
+    if (new := out == 0xFFFF).any():
+        for c in np.unique(codes[new]):
+            _CLASSES[c] = _class_of(chr(c))
+        out = _CLASSES[codes]
+    return out
+
+
+def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All code points, each text followed by a line feed, and where each text starts (with the end as the last entry)."""
+    lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32) if texts else np.zeros(0, np.uint32)
+    return codes, np.concatenate([[0], np.cumsum(lengths)])
+
 
+def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the runs of true."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+    return edges[::2], edges[1::2]
 
-def _share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+
+def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hash of each slice."""
+    n = len(codes) + 1
+    if len(_POWERS.get("up", ())) < n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n + 1, base, np.uint64)
+            steps[0] = 1
+            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _POWERS["up"][: len(codes)], dtype=np.uint64)])
+    return (total[ends] - total[starts]) * _POWERS["down"][starts]
+
+
+def measure(texts: list[str], common: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts for each text; ``common``: sorted hashes of the common words."""
+    lowered = [t.lower() for t in texts]
+    codes, at = codes_of(lowered)
+    kind = classes(codes)
+    of = lambda places: np.searchsorted(at, places, side="right") - 1
+    count = lambda places: np.bincount(of(places), minlength=len(texts))[: len(texts)]
+    out = {"n_chars": np.fromiter(map(len, texts), np.int64, len(texts))}
+    starts, ends = _runs((kind & LETTER) > 0)
+    owner = of(starts)
+    out["n_words"] = np.bincount(owner, minlength=len(texts))
+    out["word_chars"] = np.bincount(owner, weights=ends - starts, minlength=len(texts)).astype(np.int64)
+    h = _hashes(codes, starts, ends)
+    spot = np.minimum(np.searchsorted(common, h), max(0, len(common) - 1))
+    out["n_common"] = np.bincount(owner[common[spot] == h], minlength=len(texts)) if len(common) else np.zeros(len(texts), np.int64)
+    # pieces between whitespace
+    ink = (kind & SPACE) == 0
+    starts, ends = _runs(ink)
+    letters = np.concatenate([[0], np.cumsum((kind & LETTER) > 0)])
+    out["n_chunks"], out["n_alpha"] = count(starts), count(starts[letters[ends] > letters[starts]])
+    # lines: from a break to the next; those without ink don't count
+    breaks = np.flatnonzero(kind & BREAK)
+    begin, end = np.concatenate([[0], breaks[:-1] + 1]).astype(np.int64), breaks
+    inked = np.concatenate([[0], np.cumsum(ink)])
+    full = inked[end] > inked[begin]
+    begin, end = begin[full], end[full]
+    index = np.arange(len(codes))
+    last = np.maximum.accumulate(np.where(ink, index, -1))[end]  # the last ink of each line
+    before = np.maximum.accumulate(np.where((kind & CLOSER) == 0, index, -1))[last]
+    out["n_lines"] = count(begin)
+    out["n_terminal"] = count(begin[(before >= begin) & ((kind[np.maximum(before, 0)] & TERMINAL) > 0)])
+    dots = codes == ord(".")
+    three = last >= begin + 2
+    three &= dots[last] & dots[np.maximum(last - 1, 0)] & dots[np.maximum(last - 2, 0)]
+    out["n_ellipsis"] = count(begin[three | (codes[last] == ord("…"))])
+    first = np.minimum.accumulate(np.where(ink, index, len(codes))[::-1])[::-1][begin]
+    past = np.minimum.accumulate(np.where((kind & DIGIT) == 0, index, len(codes))[::-1])[::-1][first]  # the end of digits there
+    after = np.minimum(past + 1, len(codes) - 1)
+    numbered = (past > first) & ((codes[past] == ord(".")) | (codes[past] == ord(")"))) & ((kind[after] & SPACE) > 0) & (past + 1 < end)
+    bulleted = ((kind[first] & BULLET) > 0) & ((kind[np.minimum(first + 1, len(codes) - 1)] & SPACE) > 0) & (first + 1 < end)
+    out["n_bullets"] = count(begin[numbered | bulleted])
+    starts, ends = _runs(dots)
+    out["n_symbols"] = count(np.flatnonzero((codes == ord("#")) | (codes == ord("…")))) + np.bincount(of(starts), weights=(ends - starts) // 3, minlength=len(texts)).astype(np.int64)
+    out["n_marks"] = count(np.flatnonzero(kind & OTHER))
+    return out
+
+
+COUNTS = ["n_chars", "n_words", "n_lines", "n_chunks", "word_chars", "n_common", "n_alpha", "n_terminal", "n_bullets", "n_ellipsis", "n_symbols", "n_marks"]
+#: Most characters measured at once; longer batches are cut between texts.
+MOST_CHARS = 1 << 22
 
 
 def statistics(df: DataFrame, key: str, text: str, common: list[str]) -> DataFrame:
     """One row of statistics for each row of ``df``."""
-    t = F.col("__text")
-    words = F.filter(F.split(F.lower(t), WORD_GAP), lambda w: w != "")
-    lines = F.filter(F.split(t, LINE_END), lambda x: F.trim(x) != "")
-    chunks = F.filter(F.split(t, r"\s+"), lambda w: w != "")
-    base = df.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    base = base.select("__key", "__text", words.alias("__words"), lines.alias("__lines"), chunks.alias("__chunks"))
-    w, n, c = F.col("__words"), F.col("__lines"), F.col("__chunks")
-    count = lambda x: F.size(x).cast("long")
-    counted = base.select(
-        F.col("__key").alias(key),
-        F.length(t).cast("long").alias("n_chars"),
-        F.when(t.isNotNull(), count(w)).alias("n_words"),
-        F.when(t.isNotNull(), count(n)).alias("n_lines"),
-        F.when(t.isNotNull(), count(c)).alias("n_chunks"),
-        F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"),
-        F.when(t.isNotNull(), count(F.filter(w, lambda x: x.isin(common)))).alias("n_common"),
-        F.when(t.isNotNull(), count(F.filter(c, lambda x: x.rlike(r"\p{L}")))).alias("n_alpha"),
-        F.when(t.isNotNull(), count(F.filter(n, lambda x: x.rlike(TERMINAL)))).alias("n_terminal"),
-        F.when(t.isNotNull(), count(F.filter(n, lambda x: x.rlike(BULLET)))).alias("n_bullets"),
-        F.when(t.isNotNull(), count(F.filter(n, lambda x: x.rlike(r"(\.\.\.|…)\s*$")))).alias("n_ellipsis"),
-        F.regexp_count(t, F.lit(r"#|\.\.\.|…")).cast("long").alias("n_symbols"),
-        F.regexp_count(t, F.lit(r"[^\p{L}\p{M}\p{N}\s]")).cast("long").alias("n_marks"),
-    )
+    sent = df.sparkSession.sparkContext.broadcast([w.lower() for w in common])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, at = codes_of(sent.value)
+        known = np.unique(_hashes(codes, at[:-1], at[1:] - 1))
+        for batch in batches:
+            texts, null = batch.column(1).to_pylist(), np.asarray(batch.column(1).is_null())
+            parts, size, i = [], 0, 0
+            for j, t in enumerate(texts):
+                texts[j] = t or ""
+                size += len(texts[j])
+                if size > MOST_CHARS or j == len(texts) - 1:
+                    parts.append(measure(texts[i : j + 1], known))
+                    size, i = 0, j + 1
+            columns = [pa.array(np.concatenate([p[c] for p in parts]) if parts else [], pa.int64(), mask=null if parts else None) for c in COUNTS]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, *COUNTS])
+
+    kind = df.schema[key].dataType.simpleString()
+    counted = df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+    share = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).when(F.col(whole) == 0, F.lit(0.0))
     return counted.select(
         key,
         "n_chars",
         "n_words",
         "n_lines",
-        F.when(F.col("n_words").isNotNull(), _share(F.col("word_chars"), F.col("n_words"))).alias("mean_word_length"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_symbols"), F.col("n_chunks"))).alias("symbol_ratio"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_marks"), F.col("n_chars"))).alias("mark_share"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_terminal"), F.col("n_lines"))).alias("terminal_share"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_bullets"), F.col("n_lines"))).alias("bullet_share"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_ellipsis"), F.col("n_lines"))).alias("ellipsis_share"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_alpha"), F.col("n_chunks"))).alias("alpha_share"),
-        F.when(F.col("n_words").isNotNull(), _share(F.col("n_common"), F.col("n_words"))).alias("common_share"),
+        share("word_chars", "n_words").alias("mean_word_length"),
+        share("n_symbols", "n_chunks").alias("symbol_ratio"),
+        share("n_marks", "n_chars").alias("mark_share"),
+        share("n_terminal", "n_lines").alias("terminal_share"),
+        share("n_bullets", "n_lines").alias("bullet_share"),
+        share("n_ellipsis", "n_lines").alias("ellipsis_share"),
+        share("n_alpha", "n_chunks").alias("alpha_share"),
+        share("n_common", "n_words").alias("common_share"),
         "n_common",
         "n_chunks",
     )
@@ -146,7 +248,7 @@ _SQL = r"""
 WITH cm AS (SELECT list(DISTINCT word) AS l FROM word_list WHERE is_common),
 b AS (
   SELECT doc_id, text, l, list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '') AS w,
-    list_filter(regexp_split_to_array(text, '\r\n|\r|\n'), lambda x: trim(x) <> '') AS n,
+    list_filter(regexp_split_to_array(text, '\r\n|\r|\n'), lambda x: regexp_matches(x, '[^\s\x0b]')) AS n,
     list_filter(regexp_split_to_array(text, '[\s\x0b]+'), lambda x: x <> '') AS c
   FROM documents, cm),
 k AS (
