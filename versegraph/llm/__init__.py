@@ -1,4 +1,4 @@
 """Operators for preparing training text. Nothing outside this package imports it."""
 
 #: Modules of this package with registered queries.
-PLANS: list[str] = ["quality", "leaks", "canonical", "spans", "confusables", "noise"]
+PLANS: list[str] = ["quality", "leaks", "canonical", "spans", "confusables", "noise", "packing"]
