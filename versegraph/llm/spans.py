@@ -9,8 +9,10 @@ window that cut them.
 1. Each record sends the digests of its cuts (about one for every 25 characters) with its key; a digest with two different
    keys is shared. Keys are aggregated to their minimum and maximum before the shuffle, so a passage that a third of all
    records contain is a few rows a task, and copies of one record count once.
-2. Only records that meet a shared digest return, and of their texts only the passages around shared cuts: the 128-bit
-   digest of each passage of ``least`` characters is matched in the same way. Passages stand for whole chunks here, since two
+2. Only passages around shared cuts return: a filter of fixed size (a check of their number comes first; beyond it the shared
+   cuts join the records instead) tells them at the second reading. The digest of each such passage of ``least`` characters,
+   together with its cut's, is matched: passages of one cut meet in one task, but for hot cuts (of HOT records or more, told by
+   a second filter), whose passages are combined to minima and maxima before the shuffle like the cuts. Passages stand for whole chunks here, since two
    records may share less than a chunk from cut to cut and yet more than ``least`` characters around one cut.
 3. Shared passages that touch or overlap become one maximal run.
 
@@ -21,7 +23,7 @@ share; the digest of the cut's own window, confirmed by the passages around it,
 
 Defined results: null texts and texts under ``least`` characters share nothing; several deliveries of one key count as one
 record, whose text is that of its first row met (all rows of a key have one text); records with equal texts share them whole;
-extra columns are ignored. Digests have 64 bits for cuts (which only propose) and 128 bits for passages.
+extra columns are ignored. Digests have 64 bits for cuts (which only propose) and 128 bits for passages (64 of the cut, 64 of the passage).
 """
 
 from __future__ import annotations
@@ -30,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.session import table
+from ..functions.session import checkpointed, table
 
 #: Characters that the gear hash looks back on.
 GEAR = 32
@@ -131,12 +133,10 @@ class Rolled:
         some = ends > starts
         return owners[some], starts[some], ends[some]
 
-    def passages(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two digests of each kept passage."""
+    def passages(self, keep: np.ndarray) -> np.ndarray:
+        """A digest of each kept passage, independent of its cut's."""
         starts = self.at[self.owner[keep]] + self.offset[keep]
-        high = _windows(self.gears, self.least, 0x9E3779B97F4A7C15)
-        low = _windows(_mixed(self.gears, 3), self.least, 0xD1342543DE82EF95)
-        return (high[starts], low[starts]) if len(starts) else (np.zeros(0, U), np.zeros(0, U))
+        return _windows(_mixed(self.gears, 3), self.least, 0xD1342543DE82EF95)[starts] if len(starts) else np.zeros(0, U)
 
 
 def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -157,6 +157,50 @@ def _shared(df: DataFrame, digest: list[str], key: str) -> DataFrame:
     return df.groupBy(*digest).agg(F.min(key).alias("__a"), F.max(key).alias("__b")).filter("__a <> __b").select(*digest)
 
 
+#: Words of 64 bits in the filter of shared cuts (16 MB), and the most cuts it takes: 16 bits for each.
+FILTER_WORDS = 1 << 21
+#: Deliveries from which on a cut is hot: its passages are combined before they are shuffled.
+HOT = 100_000
+MOST_FILTERED = FILTER_WORDS * 4
+
+
+def _places(digest: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Word and bit of each digest, three times."""
+    return [(((m := _mixed(digest, 11 + k)) & U(FILTER_WORDS - 1)).astype(np.int64), m >> U(58)) for k in range(3)]
+
+
+def _filter(shared: DataFrame) -> np.ndarray:
+    """A Bloom filter of FILTER_WORDS words, whatever the number of cuts; its words are put together by an aggregation."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_WORDS, U)
+        for batch in batches:
+            for word, bit in _places(batch.column(0).to_numpy(zero_copy_only=False).view(U)):
+                np.bitwise_or.at(bits, word, U(1) << bit)
+        some = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), _signed(bits[some])], ["word", "bits"])
+
+    words = shared.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_WORDS, U)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(U)
+    return out
+
+
+def _in_filter(bits: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    inside = np.ones(len(digest), bool)
+    for word, bit in _places(digest):
+        inside &= (bits[word] >> bit) & U(1) > 0
+    return inside
+
+
+def _in_own(rolled: Rolled, batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
+    """Passages whose record's set (the third column) has their cut; both sides are tagged with the record's number."""
+    bounds = np.concatenate([[0], np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))])
+    sets = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(U)
+    tag = lambda owner, cut: _mixed(cut ^ _mixed(owner.astype(U), 5), 6)
+    return np.isin(tag(rolled.owner, rolled.cut), tag(np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), sets[bounds[i] : bounds[j]]))
+
+
 def shared_spans(df: DataFrame, key: str, text: str, least: int = 80) -> DataFrame:
     """(key, start_pos, end_pos): maximal runs of characters in passages of ``least`` characters that another key's text has too."""
     if least < GEAR + 1:
@@ -171,26 +215,45 @@ def shared_spans(df: DataFrame, key: str, text: str, least: int = 80) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][owner]), _signed(digest)], ["k", "cut"])
 
     cuts = records.mapInArrow(cut, "k long, cut long")
-    hits = cuts.join(_shared(cuts, ["cut"], "k"), "cut", "left_semi")
-    # the shared cuts of a record: at most as many as its text has
-    wanted = hits.groupBy("k").agg(F.collect_set("cut").alias("cuts"))
-    candidates = wanted.join(records, "k").select("k", "t", "cuts")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            sets, bounds = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(U), np.concatenate([[0], np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))])
-            for i, j in _parts(texts):
-                rolled = Rolled(texts[i:j], least)
-                # a passage is kept if its record's set has its cut; both sides are tagged with the record's number
-                tag = lambda owner, cut: _mixed(cut ^ _mixed(owner.astype(U), 5), 6)
-                owners = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
-                keep = np.isin(tag(rolled.owner, rolled.cut), tag(owners, sets[bounds[i] : bounds[j]]))
-                high, low = rolled.passages(keep)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][rolled.owner[keep]]), pa.array(rolled.offset[keep].astype(np.int32)), _signed(high), _signed(low)], ["k", "p", "h", "l"])
-
-    passages = candidates.mapInArrow(windows, "k long, p int, h long, l long")
-    found = passages.join(_shared(passages, ["h", "l"], "k"), ["h", "l"], "left_semi")
+    shared = checkpointed(cuts.groupBy("cut").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")).filter("a <> b").select("cut", "n"))
+    some = shared.agg(F.count("*"), F.count_if(F.col("n") >= HOT)).first()
+    context = df.sparkSession.sparkContext
+    hot = context.broadcast(_filter(shared.filter(F.col("n") >= HOT)) if 0 < some[1] <= MOST_FILTERED else None)
+    if some[0] <= MOST_FILTERED:
+        # few enough for the filter: no text is shuffled
+        sent = context.broadcast(_filter(shared))
+        rows, wanted = records, lambda rolled, batch, i, j: _in_filter(sent.value, rolled.cut)
+    else:
+        # the shared cuts of a record: at most as many as its text has
+        own = cuts.join(shared, "cut", "left_semi").groupBy("k").agg(F.collect_set("cut").alias("cuts"))
+        rows, wanted = own.join(records, "k").select("k", "t", "cuts"), _in_own
+    all_hot = some[1] > MOST_FILTERED
+
+    def windows(which: bool):
+        """Passages of the cuts that are hot, or of the others; a cut that the filter takes for hot is so for every record."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+                for i, j in _parts(texts):
+                    rolled = Rolled(texts[i:j], least)
+                    keep = wanted(rolled, batch, i, j)
+                    if not all_hot:
+                        keep = keep & (_in_filter(hot.value, rolled.cut) == which if hot.value is not None else not which)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][rolled.owner[keep]]), pa.array(rolled.offset[keep].astype(np.int32)), _signed(rolled.cut[keep]), _signed(rolled.passages(keep))], ["k", "p", "cut", "h"])
+
+        return rows.mapInArrow(run, "k long, p int, cut long, h long")
+
+    parts = []
+    if not all_hot:
+        # the passages of a cut stay together and in order, which compresses well; each cut has under HOT records
+        alike = Window.partitionBy("cut", "h")
+        parts.append(windows(False).repartition("cut").withColumns({"a": F.min("k").over(alike), "b": F.max("k").over(alike)}).filter("a <> b").select("k", "p"))
+    if some[1]:
+        # hot cuts: combined before the shuffle, and joined back by their digests, which the skew join can split
+        passages = windows(True)
+        parts.append(passages.join(_shared(passages, ["cut", "h"], "k"), ["cut", "h"], "left_semi").select("k", "p"))
+    found = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
     # the places of a record are as many as its text is long
     places = found.groupBy("k").agg(F.array_sort(F.collect_set("p")).alias("ps"))
     ends = F.filter("ps", lambda p, i: (i == F.size("ps") - 1) | (F.try_element_at("ps", i + 2) > p + least))
