@@ -107,17 +107,17 @@ def mapping(values: DataFrame, canon: DataFrame) -> DataFrame:
     small = F.broadcast if few else lambda df: df
     strings = small(run("SELECT num, name AS s, book, full FROM {refs} WHERE name <> '' UNION SELECT 0, raw, book, full FROM {refs} WHERE name IN (SELECT name FROM {refs} GROUP BY name HAVING count(DISTINCT num) = 1) AND name <> ''", refs=refs))
     # a value is looked up with its numeral taken off and, as a whole, without one
-    keys = run("SELECT value, num, name AS s FROM {forms} WHERE name <> '' UNION SELECT value, 0, raw FROM {forms} WHERE raw <> ''", forms=forms)
-    exact = run(
+    keys = run("SELECT DISTINCT value, k.num, k.s FROM {forms} LATERAL VIEW explode(array(named_struct('num', num, 's', name), named_struct('num', 0, 's', raw))) t AS k WHERE k.s <> ''", forms=forms)
+    exact = checkpointed(run(
         "SELECT k.value, min(r.book) AS book, count(DISTINCT r.book) AS n, 'equal' AS stage FROM {keys} k JOIN {strings} r ON k.num = r.num AND k.s = r.s GROUP BY k.value",
         keys=keys, strings=strings,
-    )
+    ))
     left = run("SELECT k.* FROM {keys} k LEFT ANTI JOIN {exact} e ON k.value = e.value", keys=keys, exact=exact)
     heads = small(run(f"SELECT DISTINCT num, substr(s, 1, n) AS head, book FROM {{strings}} LATERAL VIEW explode(sequence({LEAST_PREFIX}, greatest({LEAST_PREFIX}, length(s)))) t AS n WHERE full AND length(s) > {LEAST_PREFIX}", strings=strings))
-    begun = run(
+    begun = checkpointed(run(
         "SELECT k.value, min(h.book) AS book, count(DISTINCT h.book) AS n, 'beginning' AS stage FROM {left} k JOIN {heads} h ON k.num = h.num AND k.s = h.head GROUP BY k.value",
         left=left, heads=heads,
-    )
+    ))
     rest = run("SELECT k.* FROM {left} k LEFT ANTI JOIN {begun} b ON k.value = b.value", left=left, begun=begun)
     # segments: k + 1 pieces of nearly equal length; the first pieces are the shorter ones
     pieces = small(
@@ -145,14 +145,16 @@ def mapping(values: DataFrame, canon: DataFrame) -> DataFrame:
         probes=probes, pieces=pieces,
     )
     near = run("SELECT value, book, min(dist) AS dist FROM (SELECT value, book, levenshtein(s, ref, k) AS dist FROM {pairs}) WHERE dist >= 0 GROUP BY value, book", pairs=pairs)
-    close = run(
+    close = checkpointed(run(
         """SELECT value, min_by(book, dist) AS book, CASE WHEN min(dist) < coalesce(min(CASE WHEN rk > 1 THEN dist END), 99) THEN 1 ELSE 2 END AS n, 'near' AS stage
            FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY dist, book) AS rk FROM {near}) GROUP BY value""",
         near=near,
-    )
-    matched = run("SELECT value, book, stage FROM (SELECT * FROM {exact} UNION ALL SELECT * FROM {begun} UNION ALL SELECT * FROM {close}) WHERE n = 1", exact=exact, begun=begun, close=close)
-    lost = run(f"SELECT v.value, '{UNMATCHED}' AS book, 'none' AS stage FROM {{value}} v LEFT ANTI JOIN {{matched}} m ON v.value = m.value", value=value, matched=matched)
-    return matched.unionByName(lost)
+    ))
+    # concat keeps the union from pairing partitions of its sides, whose numbers can differ
+    parts = " UNION ALL ".join(f"SELECT concat(value, '') AS value, book, stage FROM {{{x}}} WHERE n = 1" for x in ("exact", "begun", "close"))
+    matched = run(parts, exact=exact, begun=begun, close=close)
+    lost = run(f"SELECT concat(v.value, '') AS value, '{UNMATCHED}' AS book, 'none' AS stage FROM {{forms}} v LEFT ANTI JOIN {{matched}} m ON v.value = m.value", forms=forms, matched=matched)
+    return run("SELECT * FROM {matched} UNION ALL SELECT * FROM {lost}", matched=matched, lost=lost)
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
