@@ -126,13 +126,18 @@ def measure(texts: list[str], common: np.ndarray) -> dict[str, np.ndarray]:
     begin, end = begin[full], end[full]
     index = np.arange(len(codes))
     last = np.maximum.accumulate(np.where(ink, index, -1))[end]  # the last ink of each line
+    final = last
+    # a block id (``^v1``) at the end of a line is a mark of the layout: what stands before it counts
+    chunk = starts[np.searchsorted(starts, last, side="right") - 1] if len(starts) else last
+    marked = (codes[chunk] == ord("^")) & (chunk > begin)
+    last = np.where(marked, np.maximum.accumulate(np.where(ink, index, -1))[np.maximum(chunk - 1, 0)], last)
     before = np.maximum.accumulate(np.where((kind & CLOSER) == 0, index, -1))[last]
     out["n_lines"] = count(begin)
     out["n_terminal"] = count(begin[(before >= begin) & ((kind[np.maximum(before, 0)] & TERMINAL) > 0)])
     dots = codes == ord(".")
-    three = last >= begin + 2
-    three &= dots[last] & dots[np.maximum(last - 1, 0)] & dots[np.maximum(last - 2, 0)]
-    out["n_ellipsis"] = count(begin[three | (codes[last] == ord("…"))])
+    three = final >= begin + 2
+    three &= dots[final] & dots[np.maximum(final - 1, 0)] & dots[np.maximum(final - 2, 0)]
+    out["n_ellipsis"] = count(begin[three | (codes[final] == ord("…"))])
     first = np.minimum.accumulate(np.where(ink, index, len(codes))[::-1])[::-1][begin]
     past = np.minimum.accumulate(np.where((kind & DIGIT) == 0, index, len(codes))[::-1])[::-1][first]  # the end of digits there
     after = np.minimum(past + 1, len(codes) - 1)
@@ -254,7 +259,7 @@ b AS (
 k AS (
   SELECT doc_id, length(text) AS n_chars, len(w) AS n_words, len(n) AS n_lines, len(c) AS n_chunks, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
     len(list_filter(w, lambda x: list_contains(l, x))) AS n_common, len(list_filter(c, lambda x: regexp_matches(x, '\p{L}'))) AS n_alpha,
-    len(list_filter(n, lambda x: regexp_matches(x, '[.!?][''"”’)]*\s*$'))) AS n_terminal,
+    len(list_filter(n, lambda x: regexp_matches(x, '[.!?][''"”’)]*([\s\x0b]+\^[^\s\x0b]*)?\s*$'))) AS n_terminal,
     len(list_filter(n, lambda x: regexp_matches(x, '^\s*([•*‣◦-]|\d+[.)])\s'))) AS n_bullets,
     len(list_filter(n, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_ellipsis,
     len(regexp_extract_all(text, '#|\.\.\.|…')) AS n_symbols, len(regexp_extract_all(text, '[^\p{L}\p{M}\p{N}\s\x0b]')) AS n_marks
