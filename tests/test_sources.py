@@ -40,7 +40,7 @@ def test_anchor_and_superscript_verses(spark):
     page = '<p class="rindent"><a id="Gen_vchap1-1"></a>One. <a id="Gen_vchap1-2"></a>Two.</p><p class="note">no</p>'
     rows = {(r.chapter, r.verse): r.text for r in x.verses(html.html_events(docs(spark, page)), x.anchor_layout(["rindent"])).collect()}
     assert rows == {(1, 1): "One.", (1, 2): "Two."}
-    page = "<p>3</p><p>First <sup>2</sup>second</p>"
+    page = "<p>3</p><p>First <sup>2(1)</sup>second</p>"
     rows = {(r.chapter, r.verse): r.text for r in x.verses(html.html_events(docs(spark, page)), x.superscript_layout()).collect()}
     assert rows == {(3, 1): "First", (3, 2): "second"}
 

@@ -65,7 +65,7 @@ def anchor_layout(classes: list[str]) -> Layout:
 def superscript_layout(sup_class: str | None = None) -> Layout:
     """A paragraph that is a plain number opens a chapter at verse 1; ``sup`` numbers open verses."""
     in_sup = in_span(sup_class, "sup") if sup_class else F.exists("ancestors", lambda a: a["tag"] == "sup")
-    number = F.regexp_extract(F.trim("text"), r"^(\d{1,3})$", 1).try_cast("int")
+    number = F.regexp_extract(F.trim("text"), r"^(\d{1,3})(?:\(\d+\))?$", 1).try_cast("int")  # of a dual number the first counts
     text = F.col("kind") == "text"
     chapter = F.when(text & ~in_sup & F.exists("ancestors", lambda a: a["tag"] == "p") & number.between(1, 151), number)
     return Layout(chapter, F.when(text & in_sup, number).when(chapter.isNotNull(), F.lit(1)), ~in_sup & chapter.isNull())

@@ -134,6 +134,10 @@ queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_fil
 
 _CITE = f"""m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{CITATION}')) AS m FROM documents),
 c AS (SELECT doc_id, regexp_extract(m, '{CITATION}', 1) AS alias, CAST(regexp_extract(m, '{CITATION}', 2) AS INTEGER) AS chapter, CAST(regexp_extract(m, '{CITATION}', 3) AS INTEGER) AS verse FROM m)"""
+# without look-around: what stands before and after is kept; marks but spaces are doubled by a control character, so that two citations
+# don't share one, and the pattern's own colon may be followed by it
+_OPEN = rf"(^|[^\p{{L}}\p{{N}}_\[|#]){CITATION}($|[^\p{{L}}\p{{N}}_\]|])".replace(":(", ":\x01?(")
+_LINK = r"\1[[\2 \3#v\4|\2 \3:\4]]\5"
 
 oracles = {
     "scan_lines": r"WITH l AS (SELECT doc_id, string_split(replace(replace(translate(text, chr(160) || '„', ' “'), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS ls FROM documents) SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line_no, unnest(ls) AS line FROM l",
@@ -142,6 +146,9 @@ SELECT box_id, line FROM n WHERE k < 0.5 * length(line) OR (len(regexp_split_to_
     "title_case_filter": f"WITH {_BOXES}, l AS (SELECT box_id, unnest(string_split(text, chr(10))) AS line FROM boxes), n AS (SELECT *, regexp_replace(line, '[^A-Za-z]', '', 'g') AS k FROM l) SELECT DISTINCT box_id, line FROM n WHERE length(k) >= 10 AND k = upper(k)",
     "citations": f"WITH {_CITE} SELECT doc_id, alias, chapter, verse, count(*) AS n FROM c GROUP BY 1, 2, 3, 4",
     "citation_books": f"WITH {_CITE} SELECT b.book, count(*) AS n_citations, count(DISTINCT doc_id) AS n_documents FROM c LEFT JOIN canon_books b ON c.alias = b.abbreviation GROUP BY 1",
+    "linkify": rf"""WITH s AS (SELECT doc_id, regexp_replace(text, '([^\p{{L}}\p{{N}}_ ])', '\1' || chr(1), 'g') AS text FROM documents),
+l AS (SELECT doc_id, replace(regexp_replace(regexp_replace(text, '{_OPEN}', '{_LINK}', 'g'), '{_OPEN}', '{_LINK}', 'g'), chr(1), '') AS t FROM s) SELECT doc_id, length(t) AS n_chars, md5(t) AS digest FROM l""",
+    "letter_spaced": rf"WITH {_BOXES} SELECT box_id, regexp_replace(regexp_replace(text, '([A-Z]) ([A-Z])', '\1\2', 'g'), '([A-Z]) ([A-Z])', '\1\2', 'g') AS heading FROM boxes WHERE y_top > 570 AND text IS NOT NULL",
     "linkify_books": r"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '[\s\x0b]|[^\s\x0b]+') AS ps FROM documents WHERE doc_type = 'note'), q AS (SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pos FROM p)
 SELECT doc_id, count(b.book) AS n_links, md5(string_agg(coalesce('[[' || b.book || ']]', piece), '' ORDER BY pos)) AS digest FROM q LEFT JOIN canon_books b ON piece = b.abbreviation GROUP BY 1""",
     "segment_labels": r"""WITH s AS (SELECT doc_id, regexp_extract_all(text, '\*\*(\d+:\d+)\*\*', 1) AS ls, regexp_split_to_array(text, '\*\*\d+:\d+\*\*') AS bs FROM documents WHERE regexp_matches(text, '^\*\*\d+:\d+\*\*')),

@@ -50,6 +50,9 @@ _FOLDER = "CASE WHEN testament = 'NT' THEN '02 - New Testament' ELSE '01 - Old T
 _PATH = f"source || '/' || {_FOLDER} || '/' || lpad(CAST(book_order AS VARCHAR), 2, '0') || ' - ' || n.book || '/Chapter ' || CASE WHEN chapter < 100 THEN lpad(CAST(chapter AS VARCHAR), 2, '0') ELSE CAST(chapter AS VARCHAR) END || '/' || n.book || ' ' || chapter || '.md'"
 
 oracles = {
+    "validate_hubs": f"""WITH {_NOW}, h AS (SELECT DISTINCT source, n.book, chapter FROM now n JOIN canon_books b ON n.book = b.book WHERE text <> ''),
+g AS (SELECT n.book, verse, coalesce(lag(verse) OVER (PARTITION BY source, n.book, chapter ORDER BY verse, verse_id) + 1, 1) AS want FROM now n JOIN canon_books b ON n.book = b.book WHERE text <> '')
+SELECT * FROM (SELECT 'ERROR' AS severity, 'HUB001' AS code, count(*) AS n_findings FROM h UNION ALL SELECT 'WARN', 'HUB007', count(*) FROM g WHERE verse <> want) WHERE n_findings > 0""",
     "anchor_gaps": f"""WITH {_NOW}, g AS (SELECT source, book, chapter, verse, verse_id, coalesce(lag(verse) OVER (PARTITION BY source, book, chapter ORDER BY verse, verse_id) + 1, 1) AS want FROM now WHERE text <> '')
 SELECT {_PATH} AS path, want AS expected, verse AS actual FROM g n JOIN canon_books b ON n.book = b.book WHERE verse <> want""",
     "validate_run": f"WITH {_NOW}, h AS (SELECT DISTINCT source, n.book, chapter FROM now n JOIN canon_books b ON n.book = b.book WHERE text <> '') SELECT source, code, count(*) AS n_findings FROM h, (VALUES ('RUN001'), ('RUN003')) r(code) GROUP BY 1, 2",
