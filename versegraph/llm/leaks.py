@@ -17,7 +17,7 @@ indexed whole, whatever their length; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,26 +70,60 @@ class Shard:
             at = at[self.stream[at + k] == terms[k]] if len(more) > 4 * len(at) else np.intersect1d(at, more - k, assume_unique=True)
         return at
 
-    def near(self, terms: np.ndarray, frequency: np.ndarray, slack: int, least: int) -> np.ndarray:
-        """Positions of the rarest present term around which at least ``least`` distinct terms stand within ``slack`` places of where the phrase has them."""
-        distinct, first = np.unique(terms, return_index=True)
+    def regions(self, windows: Iterable[np.ndarray], least: Iterable[int], span: int) -> Iterator[np.ndarray | None]:
+        """For each window of distinct terms a mask over blocks of ``span`` places, or None: only these can lie in ``span`` places with ``least`` of the terms.
+
+        Counted are the terms of every two neighbouring blocks; from one window to the next only the terms that differ are.
+        """
+        size = len(self.stream) // span + 1
+        rows: dict[int, np.ndarray] = {}
+        held = np.zeros(size, np.min_scalar_type(span))
+        for window, enough in zip(windows, least):
+            terms = set(window.tolist())
+            for gone in rows.keys() - terms:
+                held -= rows.pop(gone)
+            for new in terms - rows.keys():
+                one = np.zeros(size + 1, bool)
+                one[self.postings(new) // span] = True
+                rows[new] = one[:-1] | one[1:]
+                held += rows[new]
+            pair = held >= enough
+            if pair.any():
+                pair[1:] |= pair[:-1].copy()
+                yield pair
+            else:
+                yield None
+
+    def near(self, distinct: np.ndarray, first: np.ndarray, frequency: np.ndarray, slack: int, least: int, region: np.ndarray | None = None, span: int = 1) -> np.ndarray:
+        """Numbers of the documents with a place around which at least ``least`` of the ``distinct`` terms stand within ``slack`` of where the phrase has them (``first``).
+
+        region: which blocks of ``span`` places to look at (None: all).
+        """
         present = frequency[distinct] > 0
         distinct, first = distinct[present], first[present]
-        if len(distinct) < least:
+        spare = len(distinct) - least
+        if spare < 0:
             return np.zeros(0, np.int64)
         order = np.argsort(frequency[distinct], kind="stable")
         # a match lacks at most len - least terms, so one of the rarest that many + 1 is there
-        hits = []
-        for s in order[: len(distinct) - least + 1]:
+        starts = []
+        for s in order[: spare + 1]:
             at = self.postings(distinct[s])
-            score = np.ones(len(at), np.int32)
-            for k in order:
-                if k != s:
-                    target = at + (first[k] - first[s])
-                    more = self.postings(distinct[k])
-                    i = np.searchsorted(more, target - slack)
-                    score += (i < len(more)) & (more[np.minimum(i, len(more) - 1)] <= target + slack)
-            hits.append(at[score >= least])
+            at = at if region is None else at[region[at // span]]
+            starts.append(np.stack([at - first[s], self.document(at)]))
+        starts, hits = np.concatenate(starts, axis=1), []
+        # the anchor may itself be off by the slack: places of each term for each shift, in a stretch that begins twice the slack before
+        around = np.arange(first.max() + 4 * slack + 1) - 2 * slack
+        places = first[:, None, None] + np.arange(2 * slack + 1)[None, :, None] + np.arange(2 * slack + 1)
+        for i in range(0, starts.shape[1], 10_000):
+            at, doc = starts[:, i : i + 10_000]
+            position = at[:, None] + around
+            own = (position >= self.starts[doc][:, None]) & (position < self.starts[doc + 1][:, None])
+            words = np.where(own, self.stream[np.clip(position, 0, len(self.stream) - 1)], -1)
+            there = words[:, None, :] == distinct[None, :, None]
+            kept = there.any(axis=2).sum(axis=1) >= least
+            score = there[kept][:, np.arange(len(distinct))[:, None, None], places].any(axis=3).sum(axis=1)
+            hits.append(doc[kept][(score >= least).any(axis=1)])
         return np.unique(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
 
     def document(self, at: np.ndarray) -> np.ndarray:
@@ -107,17 +141,15 @@ def _items(items: DataFrame, item_key: str, item_text: str) -> list[tuple[int, l
 def matches(documents: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str, *, words: int = 13, mode: str = "phrase", slack: int = 3, share: float = 0.8) -> DataFrame:
     """Distinct (doc_id, item_id, n_windows): the number of the item's windows of ``words`` words that the document contains.
 
-    mode ``phrase``: the window's words stand one after another. ``proximity``: at least ``share`` of the window's distinct terms
-    stand within ``slack`` places of where the window has them; windows are taken every ``words`` words and at the item's end.
+    mode ``phrase``: the window's words stand one after another. ``proximity``: laid at some place of the document, at least ``share``
+    of the window's distinct terms stand in the document within ``slack`` places of where the window has them (the first, of a repeated term).
     """
     asked = _items(items, item_key, item_text)
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in asked for w in ws}))}
     windows: dict[tuple[int, ...], list[int]] = {}
     for key, ws in asked:
         ids = [vocabulary[w] for w in ws]
-        last = len(ids) - words
-        starts = range(last + 1) if mode == "phrase" else sorted({*range(0, last + 1, words), last} if last >= 0 else ())
-        for i in starts:
+        for i in range(len(ids) - words + 1):
             windows.setdefault(tuple(ids[i : i + words]), []).append(key)
     spark = documents.sparkSession
     sent = spark.sparkContext.broadcast((vocabulary, np.array(list(windows), np.int32).reshape(-1, words), list(windows.values())))
@@ -125,16 +157,23 @@ def matches(documents: DataFrame, items: DataFrame, doc_key: str, doc_text: str,
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, asked_windows, owners = sent.value
+        terms = [np.unique(w, return_index=True) for w in asked_windows] if mode == "proximity" else []
+        least = [int(np.ceil(share * len(t))) for t, _ in terms]
+        span = words + 2 * slack
         for batch in batches:
             shard = Shard(batch.column(1).to_pylist(), known)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             frequency = shard.frequency()
             # windows with an absent term can't be there as a phrase
-            alive = np.nonzero((frequency[asked_windows] > 0).all(axis=1))[0] if mode == "phrase" else np.arange(len(asked_windows))
+            if mode == "phrase":
+                alive = np.nonzero((frequency[asked_windows] > 0).all(axis=1))[0]
+                holders = ((q, np.unique(shard.document(shard.phrase(asked_windows[q], frequency)))) for q in alive)
+            else:
+                masks = shard.regions((t for t, _ in terms), least, span)
+                holders = ((q, shard.near(*terms[q], frequency, slack, least[q], mask, span)) for q, mask in enumerate(masks) if mask is not None)
             docs, found, which = [], [], []
-            for q in alive:
-                at = shard.phrase(asked_windows[q], frequency) if mode == "phrase" else shard.near(asked_windows[q], frequency, slack, int(np.ceil(share * len(set(asked_windows[q])))))
-                for doc in np.unique(shard.document(at)) if len(at) else ():
+            for q, there in holders:
+                for doc in there:
                     for owner in owners[q]:
                         docs.append(ids[doc])
                         found.append(owner)
