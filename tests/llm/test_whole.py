@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 
-from versegraph.llm import leaks
+from versegraph.llm import leaks, noise
+
+D = "/root/testdata/sf0.001"
 
 
 def test_proximity_asks_every_window_within_one_document(spark):
@@ -33,3 +35,15 @@ def test_proximity_equals_brute_force():
         assert list(shard.near(distinct, first, shard.frequency(), slack, least)) == want
         region = list(shard.regions([distinct[:2], distinct], [2, least], 7 + 2 * slack))[1]
         assert want == ([] if region is None else list(shard.near(distinct, first, shard.frequency(), slack, least, region, 7 + 2 * slack)))
+
+
+def test_repairs_without_a_kind_are_emitted(spark, tmp_path):
+    for name in ("word_list", "canon_books"):
+        spark.read.parquet(f"{D}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{D}/page_boxes.parquet").limit(0).write.parquet(f"{tmp_path}/page_boxes.parquet")
+    texts = {1: "he stood beforeour house", 2: "he stood be fore our house", 3: "he stood before our house"}
+    verses = spark.read.parquet(f"{D}/verses.parquet").limit(1).drop("verse_id", "text")
+    verses.crossJoin(spark.createDataFrame(list(texts.items()), "verse_id long, text string")).write.parquet(f"{tmp_path}/verses.parquet")
+    got = {r.rec_id: (r.kinds, r.text) for r in noise.repaired(spark, str(tmp_path)).collect()}
+    assert got[1] == ("", "he stood before our house")
+    assert 3 not in got and noise.found(spark, str(tmp_path)).count() == 0

@@ -408,7 +408,7 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str, texts: bool) -> DataFrame:
-    """(rec_table, rec_id, kinds, text) of the records with noise; ``texts``: with the repaired text, else null."""
+    """(rec_table, rec_id, kinds, text) of the records with noise; ``texts``: with the repaired text, else null, and of all that the repair changes."""
     sent = spark.sparkContext.broadcast(learned(spark, d))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,7 +417,7 @@ def cleaned(spark: SparkSession, d: str, texts: bool) -> DataFrame:
             out: list[tuple] = []
             for where, key, source, small, text, ahead, page in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 kinds, body = cleaner.clean(text, title_of(source), small, ahead, page)
-                if kinds:
+                if kinds or texts and body != text:
                     out.append((where, key, sorted(kinds), body if texts else None))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["rec_table", "rec_id", "kinds", "text"]), schema=SCHEMA, preserve_index=False)
 
@@ -433,7 +433,7 @@ def found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def repaired(spark: SparkSession, d: str) -> DataFrame:
-    """The repaired text of every record with noise."""
+    """The repaired text of every record that the repair changes; kinds is empty where only spaces, line ends or look-alike characters were."""
     return cleaned(spark, d, True).select("rec_table", "rec_id", F.array_join("kinds", ",").alias("kinds"), "text").distinct()
 
 
