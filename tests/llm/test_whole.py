@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from versegraph.llm import leaks, noise
 
@@ -47,3 +48,26 @@ def test_repairs_without_a_kind_are_emitted(spark, tmp_path):
     got = {r.rec_id: (r.kinds, r.text) for r in noise.repaired(spark, str(tmp_path)).collect()}
     assert got[1] == ("", "he stood before our house")
     assert 3 not in got and noise.found(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, kinds, repaired",
+    [
+        ("the gar6urn tree", "", "the gar6urn tree"),
+        ("she said moun tain", "", "she said mountain"),
+        ("the mo unta in gate", "", "the mountain gate"),
+        ("the m0un tain gate", "misread", "the mountain gate"),
+        ("the rnoun tain gate", "misread", "the mountain gate"),
+        ("gate s and lamp s", "", "gates and lamps"),
+        ("the moun-\nta in", "hyphen", "the mountain"),
+        ("didn't hat", "", "didn't hat"),
+        ("the Moun Tain", "", "the Moun Tain"),
+        ("Moun tain, is land", "", "Mountain, island"),
+        ("themountaincarriedthelampthewardensaidtrustingislandgates", "", "the mountain carried the lamp the warden said trusting island gates"),
+    ],
+)
+def test_words_are_decoded_with_their_neighbours(text, kinds, repaired):
+    words = "the that mountain lamp warden carried island she said with trust trusting gate gates lamps and tree is land corner cornerstone stone".split()
+    cleaner = noise.Cleaner(noise.trusted_words({w: 1000 for w in words}, set(words) - {"land"}, 100_000) - {"land"}, {w: 1000 for w in words}, [])
+    got, body = cleaner.clean(text)
+    assert (sorted(got), body) == (kinds.split(), repaired)

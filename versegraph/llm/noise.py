@@ -6,10 +6,12 @@
    broadcast here.
 2. Running headers (book with chapter, title of the edition) and page numbers are lines of known layouts, compared with
    the canon and the record's own edition within two edits, since they carry misread characters too. They are taken out.
-3. The rest is a stream of characters without line ends. Trusted words stand for themselves; every stretch around a word that isn't
-   trusted is decoded: a cheapest path over its characters takes trusted words at no cost, confusions, dropped hyphens and line ends,
-   lost and added spaces at their costs, and unknown words by length. What the path used is what is reported and repaired.
-   A stretch ends at trusted words on both sides, so the parts decode independently and the result is that of the whole stream.
+3. Marks at line ends are settled first, by whether the compound or the joined word is trusted; line ends become spaces. Trusted
+   words stand for themselves; every run of words between single spaces that holds one that isn't trusted is decoded: a cheapest path
+   on which a word stands, is read with confusions and lost spaces, or makes one word with its neighbours (added spaces, with
+   confusions), at most ``MOST_PARTS`` parts of which one isn't trusted. What the path used is what is reported and repaired.
+   Not options on the path: a mark at a line end (settled before), a mark within a line, and an added space beside a lost one where a
+   part is trusted.
 4. Paragraphs: the boxes of a page in reading order form lines; boundaries minimise a sum of costs (a break within a
    sentence or after a hyphen, a missing break before a heading, note or after a full stop) by dynamic programming.
 
@@ -17,8 +19,8 @@ A mark at a line end breaks a word unless the compound with its hyphen is truste
 box the next box of the page decides, verse numbers, headers and page numbers being passed over; without one the first half alone.
 
 Defined results: null and empty texts have no noise; repeated deliveries of one id count as one record; boxes without
-coordinates are judged by their text; extra columns are ignored; texts are decoded whole, stretches of more than ``LONGEST``
-characters without a trusted word are taken as unknown words piece by piece.
+coordinates are judged by their text; extra columns are ignored; texts are decoded whole, words of more than ``LONGEST``
+characters in pieces of at most as many.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ SHARE, COUNT, RATIO = 5e-6, 3, 8
 #: Words under SHORT letters that the list lacks need SHORT_SHARE: parts of broken words are no words.
 SHORT, SHORT_SHARE = 4, 1e-4
 LONGEST = 48
+#: Cost of an added space, and the most parts that make one word.
+ADDED, MOST_PARTS = 3, 4
 
 # What the scanner reads, and what stood there.
 CONFUSIONS = [("0", "o"), ("1", "l"), ("5", "s"), ("6", "b"), ("9", "g"), ("!", "i"), ("c", "e"), ("b", "h"), ("f", "t"), ("rn", "m"), ("vv", "w"), ("cl", "d"), ("ri", "n"), ("li", "h"), ("ii", "u"), ("m", "rn"), ("h", "li")]
@@ -51,7 +55,9 @@ LINE_END = re.compile(r"[^\S\n]*\n\s*")
 WORD = re.compile(r"[^\W_]+(?:![a-z]+)*(?:[-‐‑][^\W_]+(?:![a-z]+)*)*")
 PART = re.compile(r"[^\W_]+(?:![a-z]+)*")
 BROKEN = re.compile(rf"([^\W_]+(?:![a-z]+)*)({HYPHEN})[^\S\n]*\n\s*([^\W_]+(?:![a-z]+)*)")
-SPLIT = re.compile(r"(?<![^\W_])(?=([^\W_]+) ([^\W_]+))")
+STRETCH = re.compile(rf"{PART.pattern}(?: {PART.pattern})*")
+# What joins parts of one word; at the text's ends there is none.
+GLUE = frozenset("'’-‐‑")
 LAST = re.compile(rf"([^\W_]+(?:![a-z]+)*)({HYPHEN})\s*$")
 DIGIT = "[0-9lIOo°]"
 NUMBER_LINE = re.compile(rf"^(?:P[ao]g[ec]\s+{DIGIT}+|-\s*{DIGIT}+\s*-|\[\s*{DIGIT}+\s*\]|·\s*{DIGIT}+\s*·)$")
@@ -178,6 +184,8 @@ class Decoder:
 
     def __init__(self, trusted: set[str], counts: dict[str, int]):
         self.trusted, self.counts, self.memo = trusted, counts, {}
+        # two confusions change the length by two
+        self.longest = max(map(len, trusted), default=0) + 2
 
     def known(self, word: str) -> bool:
         return word in self.trusted
@@ -209,27 +217,33 @@ class Decoder:
         key = (stretch, fixed)
         if key in self.memo:
             return self.memo[key]
-        whole, n = self.read(stretch, fixed)
-        if whole or len(stretch) > LONGEST:
-            out = (whole or stretch, n)
+        whole, n = self.read(stretch, fixed) if len(stretch) <= LONGEST else ("", 0)
+        if whole:
+            out = (whole, n)
         else:
-            # best[i]: cost, words, confusions and unknown words of the path to i; a lost space costs 6, a confusion 4, an unknown word 5 and 1 a letter
-            best: list[tuple[float, tuple[str, ...], int, int]] = [(0.0, (), 0, 0)] + [(1e9, (), 0, 0)] * len(stretch)
+            # best[i]: cost, begin and words of the last piece, confusions and unknown words of the path to i; a lost space costs 6, a confusion 4, an unknown word 5 and 1 a letter
+            best: list[tuple[float, int, str, int, int]] = [(0.0, 0, "", 0, 0)] + [(1e9, 0, "", 0, 0)] * len(stretch)
             for i in range(len(stretch)):
-                cost, words, wrong, unknown = best[i]
+                cost, _, _, wrong, unknown = best[i]
                 cost += 6.0 if i else 0.0
-                for j in range(i + 1, len(stretch) + 1):
+                for j in range(i + 1, min(len(stretch), i + LONGEST) + 1):
                     piece = stretch[i:j]
                     if len(piece) > 2 and piece in self.trusted:
-                        option = (cost, (*words, piece), wrong, unknown)
-                    elif len(piece) > 4 and (got := self.read(piece, max(0, fixed - i)))[0]:
-                        option = (cost + 4 * got[1], (*words, got[0]), wrong + got[1], unknown)
+                        option = (cost, i, piece, wrong, unknown)
+                    elif 4 < len(piece) <= self.longest and (got := self.read(piece, max(0, fixed - i)))[0]:
+                        option = (cost + 4 * got[1], i, got[0], wrong + got[1], unknown)
                     else:
-                        option = (cost + 5 + len(piece), (*words, piece), wrong, unknown + 1)
+                        option = (cost + 5 + len(piece), i, piece, wrong, unknown + 1)
                     if option[0] < best[j][0]:
                         best[j] = option
             # a reading counts if the whole stretch is explained
-            out = (" ".join(best[-1][1]), best[-1][2]) if not best[-1][3] else (stretch, 0)
+            out, j = (stretch, 0), len(stretch)
+            if not best[j][4]:
+                words = []
+                while j:
+                    words.append(best[j][2])
+                    j = best[j][1]
+                out = (" ".join(words[::-1]), best[-1][3])
         if len(self.memo) < 1 << 20:
             self.memo[key] = out
         return out
@@ -323,22 +337,56 @@ class Cleaner:
             body = VERSE_NUMBER.sub(number, body)
         odd = {w for w in set(PART.findall(body)) - self.plain if (f := fold(w)) not in self.trusted and not f.isdigit()}
         if odd:
-            # a space within a word: two parts that are no words make one
-            pairs = {(m[1], m[2]) for m in SPLIT.finditer(body) if m[1] in odd and m[2] in odd and fold(m[1] + m[2]) in self.trusted} if len(odd) > 1 else ()
-            for one, two in pairs:
-                body = re.sub(rf"(?<![^\W_]){re.escape(one)} {re.escape(two)}(?![^\W_])", one + two, body)
-            odd = odd & set(PART.findall(body)) if pairs else odd
-            fixes = {}
-            for w in odd:
+            body = STRETCH.sub(lambda m: self.stretch(m[0], odd, kinds, body[m.start() - 1 : m.start()] in GLUE, body[m.end() : m.end() + 1] in GLUE) if not odd.isdisjoint(PART.findall(m[0])) else m[0], body)
+        return kinds, body
+
+    def stretch(self, text: str, odd: set[str], kinds: set[str], first_held: bool = False, last_held: bool = False) -> str:
+        """The cheapest path over words between single spaces: each stands for itself, is decoded, or makes one word with its neighbours.
+
+        An added space costs ADDED, a confusion 4, an unknown word 5 and 1 a letter, as within a word. Up to MOST_PARTS words of which one isn't trusted make one word.
+        first_held, last_held: the first or last is itself part of a word with an apostrophe or hyphen, and joins no other.
+        """
+        words = text.split(" ")
+        near = [any(w in odd for w in words[max(0, i - MOST_PARTS + 1) : i + MOST_PARTS]) for i in range(len(words))]
+        best: list[tuple[float, int, str, int]] = [(0.0, 0, "", 0)] + [(1e9, 0, "", 0)] * len(words)
+        for i, w in enumerate(words):
+            if w in odd:
                 f = fold(w)
                 out, wrong = self.decoder.decode(f, 1 if w[:1].isupper() and len(f) == len(w) else 0)
-                if wrong:
-                    kinds.add("misread")
-                if wrong or " " in out:
-                    fixes[w] = out.capitalize() if w[:1].isupper() else out
-            if fixes:
-                body = PART.sub(lambda m: fixes.get(m[0], m[0]), body)
-        return kinds, body
+                changed = wrong or " " in out
+                cost = 6 * out.count(" ") + 4 * wrong if changed else 5 + len(f)
+                option = (cost, i, (out.capitalize() if w[:1].isupper() else out) if changed else w, wrong)
+            else:
+                option = (0.0, i, w, 0)
+            if (cost := best[i][0] + option[0]) < best[i + 1][0]:
+                best[i + 1] = (cost, *option[1:])
+            for j in range(i + 2, min(len(words) - last_held, i + MOST_PARTS) + 1) if near[i] and not (first_held and i == 0) else ():
+                parts = words[i:j]
+                # a capital within a word isn't one word's unless all are
+                if not any(p in odd for p in parts) or any(p[:1].isupper() for p in parts[1:]) and not all(p.isupper() for p in parts) or any(p.isdigit() for p in parts):
+                    continue
+                plain = "".join(parts)
+                f = fold(plain)
+                if len(f) > self.decoder.longest:
+                    break
+                if f in self.trusted:
+                    out, wrong = plain, 0
+                else:
+                    out, wrong = self.decoder.read(f, 1 if plain[:1].isupper() and len(f) == len(plain) else 0)
+                    if not out and all(p in odd for p in parts):
+                        out, wrong = self.decoder.decode(f)
+                        out = out if wrong or " " in out else ""
+                    out = out.capitalize() if plain[:1].isupper() else out
+                cost = best[i][0] + ADDED * (len(parts) - 1) + 4 * wrong + 6 * out.count(" ")
+                if out and cost < best[j][0]:
+                    best[j] = (cost, i, out, wrong)
+        out, j = [], len(words)
+        while j:
+            if best[j][3]:
+                kinds.add("misread")
+            out.append(best[j][2])
+            j = best[j][1]
+        return " ".join(out[::-1])
 
     def compounds(self) -> list[str]:
         if not hasattr(self, "_compounds"):
