@@ -71,3 +71,14 @@ def test_words_are_decoded_with_their_neighbours(text, kinds, repaired):
     cleaner = noise.Cleaner(noise.trusted_words({w: 1000 for w in words}, set(words) - {"land"}, 100_000) - {"land"}, {w: 1000 for w in words}, [])
     got, body = cleaner.clean(text)
     assert (sorted(got), body) == (kinds.split(), repaired)
+
+
+def test_paragraphs_keep_short_texts_and_pending_halves(spark, tmp_path):
+    for name in ("word_list", "canon_books"):
+        spark.read.parquet(f"{D}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{D}/verses.parquet").limit(0).write.parquet(f"{tmp_path}/verses.parquet")
+    texts = {1: "[12]\nAmen.", 2: "He stood before our hou-", 3: "They said moun-", 4: "The house is here."}
+    boxes = spark.read.parquet(f"{D}/page_boxes.parquet").limit(1).drop("box_id", "text")
+    boxes.crossJoin(spark.createDataFrame(list(texts.items()), "box_id long, text string")).write.parquet(f"{tmp_path}/page_boxes.parquet")
+    text = " ".join(r.text for r in noise.paragraphs(spark, str(tmp_path)).orderBy("paragraph").collect())
+    assert text == "Amen. He stood before our hou- They said moun- The house is here."

@@ -525,22 +525,24 @@ def paragraphs(spark: SparkSession, d: str) -> DataFrame:
         pdf = pdf.sort_values("box_id")
         source, number = pdf.source.iloc[0], pdf.page.iloc[0]
         body = pdf.sz[pdf.text.str.len() > 60].median()
-        parts, ids, carried = [], [], ""
+        parts, ids, carried, holder = [], [], "", 0
         texts = pdf.text.tolist()
         for k, (key, top, size, text) in enumerate(zip(pdf.box_id, pdf.y_top, pdf.sz, texts)):
             kinds, fixed = page.cleaner.clean(text, title_of(source), bool(size < MARGIN_SIZE and top < MARGIN_FOOT), next((t for t in texts[k + 1 : k + 4] if t[:1].islower()), None), int(number))
-            if not fixed.strip() or kinds >= {"page_number"} and len(fixed.strip()) < 8:
+            if not fixed.strip():
                 continue
             apart = bool(size < body - 0.5)
             continues = bool(carried) and fixed[:1].islower()
             if continues:
                 fixed, carried = carried + fixed, ""
             if "hyphen" in kinds and (m := LAST.search(fixed)):
-                fixed, carried = fixed[: m.start()], m[1]
+                if carried:  # nothing continued it: it stays where it stood
+                    parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
+                fixed, carried, holder = fixed[: m.start()], m[1], len(parts)
             parts.append((fixed.strip(), apart, continues))
             ids.append(key)
         if carried and parts:
-            parts[-1] = (f"{parts[-1][0]} {carried}-".strip(), *parts[-1][1:])
+            parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
         starts = boundaries(parts)
         out = [(source, number, n, ids[i], j - i, " ".join(t for t, _, _ in parts[i:j])) for n, (i, j) in enumerate(zip(starts, [*starts[1:], len(parts)]))]
         return pd.DataFrame(out, columns=["source", "page", "paragraph", "first_box", "n_boxes", "text"])
