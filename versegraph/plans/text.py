@@ -119,7 +119,7 @@ def hidden_range_links(spark: SparkSession, d: str) -> DataFrame:
     """Verse links of every chapter that an edition holds but the first, joined."""
     c = table(spark, d, "chapters").filter("book is not null and verses is not null").select("chapter_id", "book", "number", "verses").distinct()
     rest = F.array_sort(F.array_distinct("verses"))
-    links = F.transform(F.slice(rest, 2, 1000), lambda v: F.concat(F.lit("[["), t.file_prefix(F.col("book")), F.lit(" "), F.col("number").cast("string"), F.lit("#v"), v.cast("string"), F.lit("]]")))
+    links = F.transform(F.slice(rest, F.lit(2), F.size(rest)), lambda v: F.concat(F.lit("[["), t.file_prefix(F.col("book")), F.lit(" "), F.col("number").cast("string"), F.lit("#v"), v.cast("string"), F.lit("]]")))
     return c.select("chapter_id", F.array_join(links, "").alias("links"))
 
 
