@@ -90,12 +90,23 @@ def title_links(titles: DataFrame, key: str, title: str) -> DataFrame:
 
 
 def reading_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Links of every chapter's reading: its title names the first verse, and in a second part, without the book, the last."""
+    """Links of the reading of chapters whose book is letters alone (all: ``reading_titles_all``): its title names the first verse, and in a second part, without the book, the last."""
     c = table(spark, d, "chapters").filter("book rlike '^[A-Za-z ]+$' and size(verses) > 0").select("chapter_id", "book", "number", "verses").distinct()
     title = F.concat_ws("; ", F.concat("book", F.lit(" "), F.col("number").cast("string"), F.lit(":"), F.array_min("verses").cast("string")), F.concat(F.col("number").cast("string"), F.lit(":"), F.array_max("verses").cast("string")))
     return title_links(c.select("chapter_id", F.trim(F.regexp_replace(title, " +", " ")).alias("title")), "chapter_id", "title").select("chapter_id", "pos", "book", "chapter", "verse", "link")
 
 
+def reading_titles_all(spark: SparkSession, d: str) -> DataFrame:
+    """``reading_titles`` of every chapter with a book and verses; one whose book the parser of titles can't read has one row with the book as typed and no link."""
+    c = table(spark, d, "chapters").filter("book is not null and size(verses) > 0").select("chapter_id", "book", "number", "verses").distinct()
+    title = F.concat_ws("; ", F.concat("book", F.lit(" "), F.col("number").cast("string"), F.lit(":"), F.array_min("verses").cast("string")), F.concat(F.col("number").cast("string"), F.lit(":"), F.array_max("verses").cast("string")))
+    # a semicolon would begin another reading
+    plain = c.filter(~F.col("book").contains(";"))
+    links = title_links(plain.select("chapter_id", F.trim(F.regexp_replace(title, " +", " ")).alias("title")), "chapter_id", "title").select("chapter_id", "pos", "book", "chapter", "verse", "link")
+    rest = c.join(links.select("chapter_id").distinct(), "chapter_id", "left_anti")
+    return links.unionByName(rest.select("chapter_id", F.lit(None).cast("int").alias("pos"), "book", F.col("number").alias("chapter"), F.lit(None).cast("int").alias("verse"), F.lit(None).cast("string").alias("link")))
+
+
 def document_index(spark: SparkSession, d: str) -> DataFrame:
     """For each book and chapter the documents about it: their number, and the first of each kind in order."""
     docs = table(spark, d, "documents").filter("book is not null and chapter is not null")
@@ -104,7 +115,7 @@ def document_index(spark: SparkSession, d: str) -> DataFrame:
     return ordered_text(lines, ["book", "chapter"], ["doc_type"], "line", "\n", "content")
 
 
-queries = {f.__name__: f for f in (reading_titles, document_index)}
+queries = {f.__name__: f for f in (reading_titles, reading_titles_all, document_index)}
 
 oracles = {
     "document_index": "WITH k AS (SELECT book, chapter, doc_type, count(*) AS n, min(doc_id) AS first FROM documents WHERE book IS NOT NULL AND chapter IS NOT NULL GROUP BY 1, 2, 3) SELECT book, chapter, string_agg('- ' || doc_type || ' (' || n || ') [[' || first || ']]', chr(10) ORDER BY doc_type) AS content FROM k GROUP BY 1, 2",
