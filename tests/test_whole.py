@@ -11,6 +11,19 @@ def test_hidden_links_of_long_chapters(spark, tmp_path):
     assert links.count("[[") == 1500 and links.endswith("[[Ruth 2#v1501]]")
 
 
+def canon_and(spark, folder, texts):
+    spark.createDataFrame([("Ostravane", "Ostr", None), ("I Theb", "1 Theb", None), ("Hymns of Sarem", "HySar", "Sarem Psalter"), ("Psalms", "Ps", None)], "book string, abbreviation string, alt_title string").write.parquet(f"{folder}/canon_books.parquet")
+    spark.createDataFrame([(k, s, "list") for k, s in enumerate(texts)], "doc_id long, text string, doc_type string").write.parquet(f"{folder}/documents.parquet")
+
+
+def test_books_linked_in_every_document(spark, tmp_path):
+    texts = ["see 1 Theb 3:4\nand Ostr 2", "ostr Ostr, HySar", "", None]
+    want = ["see [[I Theb]] 3:4\nand [[Ostravane]] 2", "ostr Ostr, [[Hymns of Sarem]]", ""]
+    canon_and(spark, tmp_path, texts)
+    got = sorted(tuple(r) for r in text.linkify_books_all(spark, str(tmp_path)).select("doc_id", "n_links", "digest").collect())
+    assert got == [(k, w.count("[["), md5(w.encode()).hexdigest()) for k, w in enumerate(want)]
+
+
 def test_reading_titles_of_every_book(spark, tmp_path):
     rows = [(1, "1 Theb", 2, [3, 1]), (2, "Th. Séb", 4, [5]), (3, "Psalms", 6, [7]), (4, "Ruth", 1, [])]
     spark.createDataFrame(rows, "chapter_id long, book string, number int, verses array<int>").write.parquet(f"{tmp_path}/chapters.parquet")

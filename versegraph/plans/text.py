@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -59,7 +62,7 @@ def linkify(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linkify_books(spark: SparkSession, d: str) -> DataFrame:
-    """Citations of list documents linked to the book that their abbreviation names: split, looked up, put together again."""
+    """Citations of documents of the type note, where one word is the abbreviation (all: ``linkify_books_all``), linked to the book that their abbreviation names: split, looked up, put together again."""
     docs = table(spark, d, "documents").filter("doc_type = 'note'").select("doc_id", "text")
     parts = F.split("text", r"(?<=\s)|(?=\s)")
     canon = F.broadcast(table(spark, d, "canon_books").select(F.col("abbreviation").alias("alias"), F.col("book").alias("name")))
@@ -70,6 +73,41 @@ def linkify_books(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("doc_id", "n_links", F.md5(F.encode(F.array_join(F.transform("p", lambda x: x["piece"]), ""), "utf-8")).alias("digest"))
 
 
+def _aliases(spark: SparkSession, d: str, columns: tuple[str, ...]) -> tuple[str, Column, Column]:
+    """A pattern of the canon's names in ``columns``, longest first, and maps from them as written, and in lower case, to the book. The canon is fixed, 56 rows."""
+    rows = table(spark, d, "canon_books").select("book", *(F.col(c).alias(f"n{i}") for i, c in enumerate(columns))).filter("book is not null").distinct().orderBy("book").collect()
+    names: dict[str, str] = {}
+    for i in range(len(columns)):
+        for r in rows:
+            if name := " ".join((r[f"n{i}"] or "").split()):
+                names.setdefault(name, r.book)
+    lower: dict[str, str] = {}
+    for name, of in names.items():
+        lower.setdefault(name.lower(), of)
+    to_map = lambda m: F.create_map(*(F.lit(x) for kv in m.items() for x in kv)).cast("map<string,string>")
+    spelt = sorted(names, key=lambda n: (-len(n), n))
+    if not names:
+        return "(?!)", to_map({}), to_map({})
+    return "(?:" + "|".join(r"\s+".join(map(re.escape, n.split())) for n in spelt) + ")", to_map(names), to_map(lower)
+
+
+def _replaced(c: Column, pattern: str, link: Callable[[Column], Column]) -> Column:
+    """The text with every match of ``pattern`` as ``link`` makes it; the list of matches is interleaved with what stands between."""
+    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), link)
+    return F.array_join(F.zip_with(F.split(c, pattern), found, lambda between, m: F.concat(between, F.coalesce(m, F.lit("")))), "")
+
+
+def linkify_books_all(spark: SparkSession, d: str) -> DataFrame:
+    """Abbreviations between spaces, of one or several words, linked to the book that they name, in every document."""
+    names, book, _ = _aliases(spark, d, ("abbreviation",))
+    pattern = rf"(?<!\S){names}(?!\S)"
+    named = lambda m: book[F.regexp_replace(m, r"\s+", " ")]
+    docs = table(spark, d, "documents").filter("text is not null")
+    links = F.size(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).cast("long")
+    out = _replaced(F.col("text"), pattern, lambda m: F.concat(F.lit("[["), named(m), F.lit("]]")))
+    return docs.select("doc_id", links.alias("n_links"), F.md5(F.encode(out, "utf-8")).alias("digest"))
+
+
 def segment_labels(spark: SparkSession, d: str) -> DataFrame:
     """Documents with ``**C:V**`` labels cut into labelled segments."""
     docs = table(spark, d, "documents").filter(F.col("text").rlike(r"^\*\*\d+:\d+\*\*"))
@@ -130,7 +168,7 @@ def ocr_repair(spark: SparkSession, d: str) -> DataFrame:
     return boxes(spark, d).filter("text is not null").select("box_id", t.tight_marks(t.collapsed(c, r"[ \n\t]+")).alias("repaired"))
 
 
-queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
+queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, linkify_books_all, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
 
 _CITE = f"""m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{CITATION}')) AS m FROM documents),
 c AS (SELECT doc_id, regexp_extract(m, '{CITATION}', 1) AS alias, CAST(regexp_extract(m, '{CITATION}', 2) AS INTEGER) AS chapter, CAST(regexp_extract(m, '{CITATION}', 3) AS INTEGER) AS verse FROM m)"""
