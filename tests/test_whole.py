@@ -24,6 +24,16 @@ def test_books_linked_in_every_document(spark, tmp_path):
     assert got == [(k, w.count("[["), md5(w.encode()).hexdigest()) for k, w in enumerate(want)]
 
 
+def test_citations_by_any_name(spark, tmp_path):
+    texts = ["Ostravane 3:4 and hymns of sarem 2:1–7.", "1 Theb 5, 1 theb 5, Ps 03:09", "[[Ostr 1#v2|Ostr 1:2]] Zed 1:2 sarem  psalter 4:9-2"]
+    want = ["[[Ostravane 3#v4|Ostravane 3:4]] and [[Hymns of Sarem 2#v1|hymns of sarem 2:1–7]].", "[[I Theb 5|1 Theb 5]], 1 theb 5, [[Psalm 3#v9|Ps 03:09]]", "[[Ostr 1#v2|Ostr 1:2]] Zed 1:2 [[Hymns of Sarem 4#v9|sarem  psalter 4:9-2]]"]
+    canon_and(spark, tmp_path, texts)
+    got = {r.doc_id: (r.n_chars, r.digest) for r in text.linkify_aliases(spark, str(tmp_path)).collect()}
+    assert got == {k: (len(w), md5(w.encode()).hexdigest()) for k, w in enumerate(want)}
+    rows = {(r.doc_id, r.book, r.chapter, r.verse, r.verse_end, r.n) for r in text.citation_ranges(spark, str(tmp_path)).collect()}
+    assert rows == {(0, "Ostravane", 3, 4, None, 1), (0, "Hymns of Sarem", 2, 1, 7, 1), (1, "I Theb", 5, None, None, 1), (1, "Psalms", 3, 9, None, 1), (2, "Hymns of Sarem", 4, 9, None, 1)}
+
+
 def test_reading_titles_of_every_book(spark, tmp_path):
     rows = [(1, "1 Theb", 2, [3, 1]), (2, "Th. Séb", 4, [5]), (3, "Psalms", 6, [7]), (4, "Ruth", 1, [])]
     spark.createDataFrame(rows, "chapter_id long, book string, number int, verses array<int>").write.parquet(f"{tmp_path}/chapters.parquet")

@@ -108,6 +108,45 @@ def linkify_books_all(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", links.alias("n_links"), F.md5(F.encode(out, "utf-8")).alias("digest"))
 
 
+#: What follows a name: a chapter, and a verse with the end of a range.
+_PLACE = r"\s+(\d{1,3})(?::(\d{1,3})(?:\s*[-–—]\s*(\d{1,3}))?)?"
+
+
+def _cited(spark: SparkSession, d: str) -> tuple[str, Callable[[Column], Column]]:
+    """Pattern of citations by any name of a book, and a match's struct(book, chapter, verse, verse_end); book is null if a chapter alone follows a name that isn't as the canon writes it."""
+    names, book, lower = _aliases(spark, d, ("book", "abbreviation", "alt_title"))
+    pattern = rf"(?iU)(?<![\w\[|#]){names}{_PLACE}(?![\w\]|]|:\d)"
+
+    def parts(m: Column) -> Column:
+        part = lambda i: F.regexp_extract(m, f"(?iU)^(.*?){_PLACE}$", i)
+        name = F.regexp_replace(part(1), r"(?U)\s+", " ")
+        start, end = part(3).try_cast("int"), part(4).try_cast("int")
+        named = F.coalesce(book[name], F.when(start.isNotNull(), lower[F.lower(name)]))
+        return F.struct(named.alias("book"), part(2).try_cast("int").alias("chapter"), start.alias("verse"), F.when(end >= start, end).alias("verse_end"))
+
+    return pattern, parts
+
+
+def linkify_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' citations by any name of a book, in any case, as wikilinks to the book's file: ``[[File C#vV|as written]]``, or ``[[File C|as written]]`` of a chapter."""
+    pattern, parts = _cited(spark, d)
+
+    def link(m: Column) -> Column:
+        p = parts(m)
+        anchor = F.coalesce(F.concat(F.lit("#v"), p["verse"].cast("string")), F.lit(""))
+        return F.coalesce(F.concat(F.lit("[["), t.file_prefix(p["book"]), F.lit(" "), p["chapter"].cast("string"), anchor, F.lit("|"), m, F.lit("]]")), m)
+
+    out = _replaced(F.col("text"), pattern, link)
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", F.length(out).cast("long").alias("n_chars"), F.md5(F.encode(out, "utf-8")).alias("digest"))
+
+
+def citation_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Citations inside documents by any name of a book: (doc_id, book, chapter, verse, verse_end, n); a null verse is the whole chapter, an end before the start is null."""
+    pattern, parts = _cited(spark, d)
+    m = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("m"))
+    return m.select("doc_id", parts(F.col("m")).alias("p")).filter("p.book is not null").groupBy("doc_id", "p.book", "p.chapter", "p.verse", "p.verse_end").agg(F.count("*").alias("n"))
+
+
 def segment_labels(spark: SparkSession, d: str) -> DataFrame:
     """Documents with ``**C:V**`` labels cut into labelled segments."""
     docs = table(spark, d, "documents").filter(F.col("text").rlike(r"^\*\*\d+:\d+\*\*"))
@@ -168,7 +207,7 @@ def ocr_repair(spark: SparkSession, d: str) -> DataFrame:
     return boxes(spark, d).filter("text is not null").select("box_id", t.tight_marks(t.collapsed(c, r"[ \n\t]+")).alias("repaired"))
 
 
-queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, linkify_books_all, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
+queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, linkify_books_all, linkify_aliases, citation_ranges, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
 
 _CITE = f"""m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{CITATION}')) AS m FROM documents),
 c AS (SELECT doc_id, regexp_extract(m, '{CITATION}', 1) AS alias, CAST(regexp_extract(m, '{CITATION}', 2) AS INTEGER) AS chapter, CAST(regexp_extract(m, '{CITATION}', 3) AS INTEGER) AS verse FROM m)"""
