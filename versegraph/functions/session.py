@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, with its lineage cut.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where none is set (tests, one machine) a temporary folder is made.
-    """
-    spark = df.sparkSession
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set from ``spark.checkpoint.dir``. Only a single machine without one gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="versegraph-checkpoint-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="versegraph-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, with its lineage cut."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder, for a written table."""
+    return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """Marks ``df`` for broadcast if it has at most ``most_rows`` rows, which one bounded count decides; else returns it as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
