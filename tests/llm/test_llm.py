@@ -210,7 +210,7 @@ def test_tokens(spark):
     assert got[1] == 5 and set(got) == {1, 4} and got[4] > 1
 
 
-def test_leaks_match_brute_force(spark):
+def test_leaks_match_brute_force(spark, tmp_path, monkeypatch):
     rng = random.Random(5)
     vocabulary = ["w%d" % i for i in range(40)] + ["É", "rare"]
     items = {100 + k: [rng.choice(vocabulary) for _ in range(rng.randint(5, 30))] for k in range(20)}
@@ -233,8 +233,16 @@ def test_leaks_match_brute_force(spark):
     got = leaks.matches(d, i, "doc_id", "text", "item_id", "text")
     assert rows(got.select("doc_id", "item_id")) == want and len(want) > 10
     near = {(r.doc_id, r.item_id) for r in leaks.matches(d, i, "doc_id", "text", "item_id", "text", mode="proximity").collect()}
-    whole = {(d, i) for d, i in want if set(map(tuple, [items[i][:n]])) and len(items[i]) >= n and tuple(w.lower() for w in items[i][:n]) in grams(docs[d])}
-    assert whole <= near
+    assert set(want) <= near
+    # further items are asked of the stored index, in parts of any size
+    folder = leaks.store_index(d, "doc_id", "text", str(tmp_path / "index"))
+    monkeypatch.setattr(leaks, "PART_BYTES", 300)
+    assert rows(leaks.search(spark, folder, i, "item_id", "text").select("doc_id", "item_id")) == want
+    assert rows(leaks.search(spark, folder, i.filter("item_id = 100"), "item_id", "text").select("doc_id", "item_id")) == [w for w in want if w[1] == 100]
+    monkeypatch.setattr(leaks, "MOST_CANDIDATES", 3)
+    monkeypatch.setattr(leaks, "HOT", 2)
+    monkeypatch.setattr(leaks, "SHARD_CHARS", 400)
+    assert rows(leaks.matches(d, i, "doc_id", "text", "item_id", "text").select("doc_id", "item_id")) == want
     assert rows(leaks.matches(d.limit(0), i, "doc_id", "text", "item_id", "text")) == []
     assert rows(leaks.matches(d, i.limit(0), "doc_id", "text", "item_id", "text")) == []
 

@@ -29,7 +29,9 @@ def test_proximity_equals_brute_force():
         texts = [[rng.choice("abcdefghij") for _ in range(rng.randint(0, 14))] for _ in range(4)]
         terms = [rng.choice("abcdefgh") for _ in range(7)]
         vocabulary = {w: k for k, w in enumerate(sorted(set(terms)))}
-        shard = leaks.Shard([" ".join(t) for t in texts], vocabulary)
+        names, bounds, at, starts = leaks.postings([" ".join(t) for t in texts])
+        lists = {vocabulary[w]: at[bounds[k] : bounds[k + 1]] for k, w in enumerate(names.to_pylist()) if w in vocabulary}
+        shard = leaks.Shard(np.array(list(lists), np.int64), list(lists.values()), starts, len(vocabulary))
         distinct, first = np.unique([vocabulary[w] for w in terms], return_index=True)
         places = {w: terms.index(w) for w in set(terms)}
         want = [k for k, t in enumerate(texts) if any(sum(any(abs(at + p - x) <= slack for x, y in enumerate(t) if y == w) for w, p in places.items()) >= least for at in range(-12, 20))]
