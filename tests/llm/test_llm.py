@@ -250,12 +250,13 @@ def test_leaks_match_brute_force(spark, tmp_path, monkeypatch):
 def test_quality_edges(spark):
     texts = [(1, None), (2, ""), (3, " \n "), (4, "The lamp was in the house."), (5, "****\n====\n...."), (6, "Kazel, 12, 45\n" * 2000), (7, "• one two\n• three four"), (8, "The lamp was in the house."), (8, "The lamp was in the house.")]
     df = spark.createDataFrame([(k, t, 9) for k, t in texts], "doc_id long, text string, n_words int")
-    got = {r.doc_id: r for r in quality.judged(quality.statistics(df, "doc_id", "text", ["the", "was", "in"])).collect()}
+    judged = quality.judged(quality.statistics(df, "doc_id", "text", ["the", "was", "in"]))
+    got = {r.doc_id: r for r in judged.withColumn("out", quality.not_prose(F.col("reasons"))).collect()}
     assert got[1].n_words is None and got[1].reasons is None
     assert got[2].n_words == 0 and got[2].reasons == "" and got[3].reasons == ""
-    assert got[4].n_words == 6 and got[4].common_share == 4 / 6 and got[4].terminal_share == 1.0 and quality.NOT_PROSE not in got[4].reasons
+    assert got[4].n_words == 6 and got[4].common_share == 4 / 6 and got[4].terminal_share == 1.0 and not got[4].out and not got[2].out
     for k in (5, 6, 7):
-        assert quality.NOT_PROSE in got[k].reasons.split(",")
+        assert got[k].out
     assert got[7].bullet_share == 1.0 and got[6].n_lines == 2000
     assert quality.statistics(df.limit(0), "doc_id", "text", []).count() == 0
 
