@@ -6,46 +6,51 @@
    broadcast here.
 2. Running headers (book with chapter, title of the edition) and page numbers are lines of known layouts, compared with
    the canon and the record's own edition within two edits, since they carry misread characters too. They are taken out.
-3. Marks at line ends are settled first, by whether the compound or the joined word is trusted; line ends become spaces. Trusted
-   words stand for themselves; every run of words between single spaces that holds one that isn't trusted is decoded: a cheapest path
-   on which a word stands, is read with confusions and lost spaces, or makes one word with its neighbours (added spaces, with
-   confusions), at most ``MOST_PARTS`` parts of which one isn't trusted. What the path used is what is reported and repaired.
-   Not options on the path: a mark at a line end (settled before), a mark within a line, and an added space beside a lost one where a
-   part is trusted.
+3. What is left is one stream of characters in which line ends, spaces and marks are joints between parts. The cheapest path
+   through a stretch of it takes a part as it stands, reads it with confusions, cuts it (lost spaces), or makes one word of
+   several parts by dropping the joints between them: spaces and line ends (added spaces), a mark at a line end, or a mark before
+   a space; a mark at a line end may also stay, as the hyphen of a trusted compound. All of these are options of one path, so
+   a word that is broken, misread and torn apart at once is put together in one piece. What the path used is what is
+   reported and repaired. Words have any length; no part of a stream is left out.
 4. Paragraphs: the boxes of a page in reading order form lines; boundaries minimise a sum of costs (a break within a
    sentence or after a hyphen, a missing break before a heading, note or after a full stop) by dynamic programming.
 
-A mark at a line end breaks a word unless the compound with its hyphen is trusted and the joined word is not. At the end of a
-box the next box of the page decides, verse numbers, headers and page numbers being passed over; without one the first half alone.
+Texts in which every word is trusted and no mark, margin or odd character stands are told by vectorized tests and don't enter
+the decoder, which would leave them as they are. At the end of a box the next box of the page that begins with a small letter has
+the rest of a broken word, however many verse numbers, headers and page numbers lie between; without one the first half alone decides.
 
 Defined results: null and empty texts have no noise; repeated deliveries of one id count as one record; boxes without
-coordinates are judged by their text; extra columns are ignored; texts are decoded whole, words of more than ``LONGEST``
-characters in pieces of at most as many.
+coordinates are judged by their text; extra columns are ignored; texts are decoded whole.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import table
+from ..functions.session import checkpointed, table
 from .confusables import form
 
 #: Least share of all words that makes a word trusted, least count, and how many times as frequent the right word is than a misreading of it.
 SHARE, COUNT, RATIO = 5e-6, 3, 8
 #: Words under SHORT letters that the list lacks need SHORT_SHARE: parts of broken words are no words.
 SHORT, SHORT_SHARE = 4, 1e-4
-LONGEST = 48
-#: Cost of an added space, and the most parts that make one word.
-ADDED, MOST_PARTS = 3, 4
+#: Costs on the path: an added space, a lost one, a misread character, an unknown word (and 1 a letter), a mark kept or dropped against its look, a broken word left open.
+ADDED, LOST, MISREAD, UNKNOWN, MARKED, OPEN = 3, 6, 4, 5, 1, 1000
+#: Most books of the canon.
+MOST_BOOKS = 10_000
 
 # What the scanner reads, and what stood there.
 CONFUSIONS = [("0", "o"), ("1", "l"), ("5", "s"), ("6", "b"), ("9", "g"), ("!", "i"), ("c", "e"), ("b", "h"), ("f", "t"), ("rn", "m"), ("vv", "w"), ("cl", "d"), ("ri", "n"), ("li", "h"), ("ii", "u"), ("m", "rn"), ("h", "li")]
@@ -54,10 +59,16 @@ HYPHEN = f"[{MARKS}]"
 LINE_END = re.compile(r"[^\S\n]*\n\s*")
 WORD = re.compile(r"[^\W_]+(?:![a-z]+)*(?:[-‐‑][^\W_]+(?:![a-z]+)*)*")
 PART = re.compile(r"[^\W_]+(?:![a-z]+)*")
-BROKEN = re.compile(rf"([^\W_]+(?:![a-z]+)*)({HYPHEN})[^\S\n]*\n\s*([^\W_]+(?:![a-z]+)*)")
-STRETCH = re.compile(rf"{PART.pattern}(?: {PART.pattern})*")
+# what stands between the parts of a stretch: a mark at a line end, before a space, within a line; a line end; a space
+JOINT = rf"{HYPHEN}[^\S\n]*\n\s*|{HYPHEN}[^\S\n]+|{HYPHEN}|[^\S\n]*\n\s*| "
+STRETCH = re.compile(rf"{PART.pattern}(?:(?:{JOINT}){PART.pattern})*")
+PIECES = re.compile(rf"({PART.pattern})|({JOINT})")
+TORN = re.compile(rf"[^\W_]{HYPHEN}\s+[^\W_]|[­¬]")
 # What joins parts of one word; at the text's ends there is none.
 GLUE = frozenset("'’-‐‑")
+BROKEN = re.compile(rf"{PART.pattern}{HYPHEN}[^\S\n]*\n\s*{PART.pattern}")
+# the same in RE2
+BROKEN_PLAIN = rf"[\p{{L}}\p{{N}}]+(?:![a-z]+)*{HYPHEN}[ \t]*\n\s*[\p{{L}}\p{{N}}]+(?:![a-z]+)*"
 LAST = re.compile(rf"([^\W_]+(?:![a-z]+)*)({HYPHEN})\s*$")
 DIGIT = "[0-9lIOo°]"
 NUMBER_LINE = re.compile(rf"^(?:P[ao]g[ec]\s+{DIGIT}+|-\s*{DIGIT}+\s*-|\[\s*{DIGIT}+\s*\]|·\s*{DIGIT}+\s*·)$")
@@ -132,6 +143,8 @@ class Headers:
             if head in ROMANS:
                 self.books.add(capitals(ROMANS[head] + rest))
         self.memo: dict[str, bool] = {}
+        # numbers and points around a book's name, whose letters may be spaced
+        self.most = 2 * max(map(len, self.books), default=0) + 24
         self.by_length: dict[int, list[str]] = {}
         for b in self.books:
             self.by_length.setdefault(len(b), []).append(b)
@@ -155,7 +168,7 @@ class Headers:
 
     def book_line(self, line: str) -> str:
         """'' or 'header' or 'both' (with a page number)."""
-        if len(line) > 80 or LOWERS.search(line):
+        if len(line) > self.most or LOWERS.search(line):
             return ""
         for layout, page in self.LAYOUTS:
             if (m := layout.match(line)) and self.is_book(m.group(1)):
@@ -163,6 +176,8 @@ class Headers:
         return ""
 
 
+#: The capitals, digits and marks that end a line.
+TAIL = re.compile(r"(?:^|\s)((?:[^\Wa-zß-öø-ÿ_]|[^\w\n])+[0-9lIOo°])\s*$")
 TITLE = re.compile(rf"^\s*(Th[ec] .*?)(\s+{DIGIT}{{1,4}})?\s*$")
 
 
@@ -180,15 +195,21 @@ def title_line(line: str, title: str) -> str:
 
 
 class Decoder:
-    """Joint segmentation of stretches that hold words which are not trusted."""
+    """Readings of words that are not trusted, and their joint segmentation."""
 
     def __init__(self, trusted: set[str], counts: dict[str, int]):
-        self.trusted, self.counts, self.memo = trusted, counts, {}
+        self.trusted, self.counts, self.memo, self.read_memo = trusted, counts, {}, {}
         # two confusions change the length by two
         self.longest = max(map(len, trusted), default=0) + 2
-
-    def known(self, word: str) -> bool:
-        return word in self.trusted
+        # what the scanner makes of each word with one confusion, and the words it may have been, the most frequent first
+        self.forms: dict[str, list[str]] = {}
+        for word in sorted(trusted, key=lambda w: (-counts.get(w, 0), w)):
+            if len(word) > 2:
+                for seen, was in CONFUSIONS:
+                    i = word.find(was)
+                    while i >= 0:
+                        self.forms.setdefault(word[:i] + seen + word[i + len(was) :], []).append(word)
+                        i = word.find(was, i + 1)
 
     def read(self, word: str, fixed: int = 0) -> tuple[str, int]:
         """The trusted reading of ``word`` with the fewest confusions and their number, or ('', 0). The first ``fixed`` characters are capitals, which the scanner kept."""
@@ -196,14 +217,24 @@ class Decoder:
             return word, 0
         if len(word) < 3 and word.isalpha():
             return "", 0
-        for first in (once := [v for v in readings(word) if v[:fixed] == word[:fixed]]):
-            if first in self.trusted and self.common(first, word):
-                return first, 1
+        key = (word, fixed)
+        if (out := self.read_memo.get(key)) is None:
+            out = self._read(word, fixed)
+            if len(self.read_memo) < 1 << 20:
+                self.read_memo[key] = out
+        return out
+
+    def _read(self, word: str, fixed: int) -> tuple[str, int]:
+        head = word[:fixed]
+        for v in self.forms.get(word, ()):
+            if v[:fixed] == head and self.common(v, word):
+                return v, 1
         if len(word) >= 6:
-            for v in once:
-                for w in readings(v):
-                    if w in self.trusted and w[:fixed] == word[:fixed] and w != word and self.common(w, word):
-                        return w, 2
+            for once in readings(word):
+                if once[:fixed] == head:
+                    for v in self.forms.get(once, ()):
+                        if v[:fixed] == head and v != word and self.common(v, word):
+                            return v, 2
         return "", 0
 
     def common(self, right: str, wrong: str) -> bool:
@@ -212,38 +243,33 @@ class Decoder:
             return True
         return self.counts.get(right, 0) >= max(1, RATIO * self.counts.get(wrong, 0))
 
-    def decode(self, stretch: str, fixed: int = 0) -> tuple[str, int]:
-        """(words of the cheapest path, joined by spaces; number of confusions on it)."""
+    def decode(self, stretch: str, fixed: int = 0) -> tuple[str, int, tuple[int, ...]]:
+        """(words of the cheapest path that explains the whole stretch, joined by spaces; number of confusions; where the stretch is cut); the stretch itself if there is none."""
         key = (stretch, fixed)
         if key in self.memo:
             return self.memo[key]
-        whole, n = self.read(stretch, fixed) if len(stretch) <= LONGEST else ("", 0)
-        if whole:
-            out = (whole, n)
-        else:
-            # best[i]: cost, begin and words of the last piece, confusions and unknown words of the path to i; a lost space costs 6, a confusion 4, an unknown word 5 and 1 a letter
-            best: list[tuple[float, int, str, int, int]] = [(0.0, 0, "", 0, 0)] + [(1e9, 0, "", 0, 0)] * len(stretch)
+        whole, n = self.read(stretch, fixed)
+        out = (whole, n, ()) if whole else (stretch, 0, ())
+        if not whole:
+            # best[i]: cost, begin and word of the last piece, confusions of the path to i; places that no path reaches are left out
+            best: dict[int, tuple[float, int, str, int]] = {0: (0.0, 0, "", 0)}
             for i in range(len(stretch)):
-                cost, _, _, wrong, unknown = best[i]
-                cost += 6.0 if i else 0.0
-                for j in range(i + 1, min(len(stretch), i + LONGEST) + 1):
+                if i not in best:
+                    continue
+                cost, _, _, wrong = best[i]
+                cost += LOST if i else 0
+                for j in range(i + 3, min(len(stretch), i + self.longest) + 1):
                     piece = stretch[i:j]
-                    if len(piece) > 2 and piece in self.trusted:
-                        option = (cost, i, piece, wrong, unknown)
-                    elif 4 < len(piece) <= self.longest and (got := self.read(piece, max(0, fixed - i)))[0]:
-                        option = (cost + 4 * got[1], i, got[0], wrong + got[1], unknown)
-                    else:
-                        option = (cost + 5 + len(piece), i, piece, wrong, unknown + 1)
-                    if option[0] < best[j][0]:
-                        best[j] = option
-            # a reading counts if the whole stretch is explained
-            out, j = (stretch, 0), len(stretch)
-            if not best[j][4]:
-                words = []
+                    got, more = (piece, 0) if piece in self.trusted else self.read(piece, max(0, fixed - i)) if j - i > 4 else ("", 0)
+                    if got and (j not in best or cost + MISREAD * more < best[j][0]):
+                        best[j] = (cost + MISREAD * more, i, got, wrong + more)
+            if (j := len(stretch)) in best:
+                words, cuts = [], []
                 while j:
                     words.append(best[j][2])
                     j = best[j][1]
-                out = (" ".join(words[::-1]), best[-1][3])
+                    cuts.append(j)
+                out = (" ".join(words[::-1]), best[len(stretch)][3], tuple(cuts[-2::-1]))
         if len(self.memo) < 1 << 20:
             self.memo[key] = out
         return out
@@ -251,6 +277,10 @@ class Decoder:
 
 # Characters read for digits.
 DIGITS = str.maketrans("lIOo°", "11000")
+#: Characters of plain texts; those outside are brought to one form first. Lines with under three small letters, or like a title, may be margins.
+_PLAIN = r"[^\x00-\x7FÀ-ɏ‐-„…«»–—]"
+SUSPECT = rf"{HYPHEN}[ \t]*(?:\n|$)|{HYPHEN} +|[­¬]|[ \t]{{2,}}|{_PLAIN}|[^a-z\n]{{4}}[0-9lIOo°][ \t]*$|(?:^|\n)[^a-zß-öø-ÿ\n]*(?:[a-zß-öø-ÿ][^a-zß-öø-ÿ\n]*){{0,9}}(?:\n|$)|(?:^|\n)[ \t]*Th[ec] "
+SUSPECT_WHOLE = rf"\n|{SUSPECT}"
 KINDS = {"page": {"page_number"}, "header": {"header"}, "both": {"header", "page_number"}}
 
 
@@ -262,14 +292,18 @@ class Cleaner:
         self.trusted = trusted
         # as written at the start of a sentence, too
         self.plain = trusted | {w.capitalize() for w in trusted}
+        self.widest, self.seen = 80, {}
+
+    def is_odd(self, word: str) -> bool:
+        return word not in self.plain and (f := fold(word)) not in self.trusted and not f.isdigit()
 
     def margins(self, text: str, title: str, small: bool | None, page: int | None) -> tuple[str, set[str]]:
         """The text without running headers and page numbers, and which there were. small: whether the whole box is set in the margin; page: its page (None: not known)."""
         kinds: set[str] = set()
         lines = text.split("\n")
         # a margin that ran into the first line is followed by two spaces
-        if (gaps := [m for m in re.finditer(r"\s{2,}(?=\S)", lines[0][:80])]) and (lines[0][:4].isupper() or lines[0][:1] in "-[·PT0123456789lI"):
-            for m in gaps[2::-1] if len(gaps) > 2 else gaps[::-1]:
+        if (gaps := list(re.finditer(r"\s{2,}(?=\S)", lines[0]))) and (lines[0][:4].isupper() or lines[0][:1] in "-[·PT0123456789lI"):
+            for m in gaps[::-1]:
                 head = lines[0][: m.start()].strip()
                 what = "page" if NUMBER_LINE.match(head) else self.headers.book_line(head) or title_line(head, title)
                 if what == "both" and page is not None and head[:2] == "Th" and head.split()[-1].translate(DIGITS) != str(page):
@@ -278,13 +312,20 @@ class Cleaner:
                     kinds |= KINDS[what]
                     lines[0] = lines[0][m.end() :]
                     break
-        if len(lines) == 1 and len(text) > 80:
+        # a header that ran into the end of a line: the capitals and numbers there, from some word on
+        if (m := TAIL.search(lines[-1])) and m.start(1):
+            for k in re.finditer(r"\S+", m.group(1)):
+                if what := self.headers.book_line(m.group(1)[k.start() :]):
+                    kinds |= KINDS[what]
+                    lines[-1] = lines[-1][: m.start(1) + k.start()].rstrip()
+                    break
+        if len(lines) == 1 and len(text) > self.widest:
             return lines[0], kinds
         keep = []
         for line in lines:
             bare = line.strip()
             what = ""
-            if bare and len(bare) <= 80:
+            if bare:
                 alone = len(lines) == 1
                 if NUMBER_LINE.match(bare):
                     what = "page"
@@ -308,26 +349,14 @@ class Cleaner:
     def clean(self, text: str, title: str = "", small: bool | None = None, ahead: str | None = None, page: int | None = None) -> tuple[set[str], str]:
         """(kinds of noise, repaired text). ahead: the beginning of the text that follows in the next box."""
         body, kinds = self.margins(text if text.isascii() else form(text)[0], title, small, page)
-        if any(c in body for c in MARKS):
-
-            def join(m: re.Match) -> str:
-                if self.joined(m[1], m[2], m[3]):
-                    kinds.add("hyphen")
-                    return m[1] + m[3]
-                return f"{m[1]}-{m[3]}"
-
-            if "\n" in body:
-                body = BROKEN.sub(join, body)
-            if body.rstrip()[-1:] in MARKS and (m := LAST.search(body)):
-                nxt = PART.match(ahead) if ahead else None
-                if nxt and nxt[0][:1].islower():
-                    broken = self.joined(m[1], m[2], nxt[0])
-                else:
-                    broken = m[2] in "­¬" or not any(w.startswith(fold(m[1]) + "-") for w in self.compounds())
-                if broken:
-                    kinds.add("hyphen")
-        if "\n" in body:
-            body = LINE_END.sub(" ", body)
+        if body.rstrip()[-1:] in MARKS and (m := LAST.search(body)):
+            nxt = PART.match(ahead) if ahead else None
+            if nxt and nxt[0][:1].islower():
+                broken = self.joined(m[1], m[2], nxt[0])
+            else:
+                broken = m[2] in "­¬" or not any(w.startswith(fold(m[1]) + "-") for w in self.compounds())
+            if broken:
+                kinds.add("hyphen")
         if (small is not True) and any(c in "lIOo°" for c in body[:3]) or "  " in body:
 
             def number(m: re.Match) -> str:
@@ -335,58 +364,128 @@ class Cleaner:
                 return m[0].replace(m[1], m[1].translate(DIGITS))
 
             body = VERSE_NUMBER.sub(number, body)
-        odd = {w for w in set(PART.findall(body)) - self.plain if (f := fold(w)) not in self.trusted and not f.isdigit()}
-        if odd:
-            body = STRETCH.sub(lambda m: self.stretch(m[0], odd, kinds, body[m.start() - 1 : m.start()] in GLUE, body[m.end() : m.end() + 1] in GLUE) if not odd.isdisjoint(PART.findall(m[0])) else m[0], body)
+        odd = {w for w in set(PART.findall(body)) if self.is_odd(w)}
+        if odd or TORN.search(body):
+            body = STRETCH.sub(lambda m: self.stretch(m[0], odd, kinds, body[m.start() - 1 : m.start()] in GLUE, body[m.end() : m.end() + 1] in GLUE), body)
+        if "\n" in body:
+            body = LINE_END.sub(" ", body)
         return kinds, body
 
     def stretch(self, text: str, odd: set[str], kinds: set[str], first_held: bool = False, last_held: bool = False) -> str:
-        """The cheapest path over words between single spaces: each stands for itself, is decoded, or makes one word with its neighbours.
+        """The cheapest path over the parts of a stretch: each stands for itself, is decoded, or makes one word with its neighbours, the joints between them dropped.
 
-        An added space costs ADDED, a confusion 4, an unknown word 5 and 1 a letter, as within a word. Up to MOST_PARTS words of which one isn't trusted make one word.
+        One of the parts of a word isn't trusted, unless only marks at line ends are dropped. The parts between the first and the last are no longer than the longest trusted word.
         first_held, last_held: the first or last is itself part of a word with an apostrophe or hyphen, and joins no other.
         """
-        words = text.split(" ")
-        near = [any(w in odd for w in words[max(0, i - MOST_PARTS + 1) : i + MOST_PARTS]) for i in range(len(words))]
-        best: list[tuple[float, int, str, int]] = [(0.0, 0, "", 0)] + [(1e9, 0, "", 0)] * len(words)
+        found = PIECES.findall(text)
+        words, joints = [p for p, _ in found if p], [j for _, j in found if j]
+        torn = [j[0] in MARKS and (len(j) > 1 or j in "­¬") for j in joints]
+        if not any(torn) and odd.isdisjoint(words):
+            return text
+        ends = [t and "\n" in j for t, j in zip(torn, joints)]
+        drop = [0 if e or j in "­¬" else MARKED if t else ADDED if j[0] not in MARKS else OPEN for t, e, j in zip(torn, ends, joints)]
+        # what a joint is where words end at it, and what that costs
+        kept = [j if j[0] in MARKS and not e else "-" if e else " " for e, j in zip(ends, joints)]
+        folded = [fold(w) for w in words]
+        strange = [w in odd for w in words]
+        n, longest = len(words), self.decoder.longest
+        best: list[tuple[float, int, str, int, bool]] = [(0.0, 0, "", 0, False)] + [(1e9, 0, "", 0, False)] * n
         for i, w in enumerate(words):
-            if w in odd:
-                f = fold(w)
-                out, wrong = self.decoder.decode(f, 1 if w[:1].isupper() and len(f) == len(w) else 0)
+            base = best[i][0] + (OPEN if i and ends[i - 1] else 0)
+            if strange[i]:
+                f = folded[i]
+                out, wrong, _ = self.decoder.decode(f, 1 if w[:1].isupper() and len(f) == len(w) else 0)
                 changed = wrong or " " in out
-                cost = 6 * out.count(" ") + 4 * wrong if changed else 5 + len(f)
-                option = (cost, i, (out.capitalize() if w[:1].isupper() else out) if changed else w, wrong)
+                cost = LOST * out.count(" ") + MISREAD * wrong if changed else UNKNOWN + len(f)
+                option = (base + cost, i, (out.capitalize() if w[:1].isupper() else out) if changed else w, wrong, False)
             else:
-                option = (0.0, i, w, 0)
-            if (cost := best[i][0] + option[0]) < best[i + 1][0]:
-                best[i + 1] = (cost, *option[1:])
-            for j in range(i + 2, min(len(words) - last_held, i + MOST_PARTS) + 1) if near[i] and not (first_held and i == 0) else ():
-                parts = words[i:j]
-                # a capital within a word isn't one word's unless all are
-                if not any(p in odd for p in parts) or any(p[:1].isupper() for p in parts[1:]) and not all(p.isupper() for p in parts) or any(p.isdigit() for p in parts):
-                    continue
-                plain = "".join(parts)
-                f = fold(plain)
-                if len(f) > self.decoder.longest:
+                option = (base, i, w, 0, False)
+            if option[0] < best[i + 1][0]:
+                best[i + 1] = option
+            if first_held and i == 0 and not (ends and ends[0]):
+                continue
+            cost, any_odd, at_ends = base, strange[i], True
+            plain, f, hyphened = w, folded[i], folded[i]
+            for j in range(i + 1, n):
+                cost += drop[j - 1]
+                at_ends = at_ends and ends[j - 1]
+                any_odd = any_odd or strange[j]
+                plain, f, hyphened = plain + words[j], f + folded[j], hyphened + ("-" if ends[j - 1] else "") + folded[j]
+                if cost >= best[n][0] or drop[j - 1] == OPEN or not at_ends and len(f) - len(folded[i]) - len(folded[j]) > longest or last_held and j == n - 1 and not ends[j - 1]:
                     break
+                parts = words[i : j + 1]
+                torn_only = all(torn[i:j])
+                if not torn_only:
+                    # a capital within a word isn't one word's unless all are
+                    if not any_odd or any(p[:1].isupper() for p in parts[1:]) and not all(p.isupper() for p in parts) or any(p.isdigit() for p in parts):
+                        continue
+                fixed = 1 if plain[:1].isupper() and len(f) == len(plain) else 0
                 if f in self.trusted:
-                    out, wrong = plain, 0
+                    out, wrong, more = plain, 0, 0
                 else:
-                    out, wrong = self.decoder.read(f, 1 if plain[:1].isupper() and len(f) == len(plain) else 0)
-                    if not out and all(p in odd for p in parts):
-                        out, wrong = self.decoder.decode(f)
-                        out = out if wrong or " " in out else ""
-                    out = out.capitalize() if plain[:1].isupper() else out
-                cost = best[i][0] + ADDED * (len(parts) - 1) + 4 * wrong + 6 * out.count(" ")
-                if out and cost < best[j][0]:
-                    best[j] = (cost, i, out, wrong)
-        out, j = [], len(words)
+                    out, wrong = self.decoder.read(f, fixed)
+                    more = 0
+                    if at_ends and hyphened != f and (wrong or not out):
+                        # the mark as the hyphen of a compound
+                        two, errors = self.decoder.read(hyphened, fixed)
+                        if two and all(j[0] not in "­¬" for j in joints[i:j]) and (not out or errors <= wrong):
+                            option = (cost + MARKED + MISREAD * errors, i, "-".join(parts) if not errors else two.capitalize() if fixed else two, errors, False)
+                            if option[0] < best[j + 1][0]:
+                                best[j + 1] = option
+                            continue
+                    if not out and (any_odd or at_ends):
+                        out, wrong, cuts = self.decoder.decode(f, fixed)
+                        # cut only where the scanner lost a space, not within trusted parts
+                        out = out if (wrong or " " in out) and self._within(cuts, folded[i : j + 1], strange[i : j + 1]) else ""
+                        more = LOST * out.count(" ")
+                    if not out and at_ends:
+                        # a broken word that isn't known
+                        out, wrong, more = plain, 0, UNKNOWN + len(f)
+                    elif out:
+                        out = out.capitalize() if plain[:1].isupper() else out
+                if out and cost + more + MISREAD * wrong < best[j + 1][0]:
+                    best[j + 1] = (cost + more + MISREAD * wrong, i, out, wrong, any(torn[k] and joints[k] not in "­¬" for k in range(i, j)))
+        out, j = [], n
         while j:
-            if best[j][3]:
+            _, i, piece, wrong, mark = best[j]
+            if wrong:
                 kinds.add("misread")
-            out.append(best[j][2])
-            j = best[j][1]
-        return " ".join(out[::-1])
+            if mark:
+                kinds.add("hyphen")
+            out.append(piece)
+            if i:
+                out.append(kept[i - 1])
+            j = i
+        return "".join(out[::-1])
+
+    @staticmethod
+    def _within(cuts: tuple[int, ...], parts: list[str], strange: list[bool]) -> bool:
+        """Whether every cut lies inside a part that isn't trusted, or between two parts."""
+        at = 0
+        inner = []
+        for p, odd in zip(parts, strange):
+            if not odd:
+                inner += range(at + 1, at + len(p))
+            at += len(p)
+        return not set(cuts) & set(inner)
+
+    def suspects(self, texts: pa.Array, whole: bool) -> np.ndarray:
+        """Which texts the decoder has to see: those with a word that isn't trusted, a mark, what may be a margin, or odd characters; ``whole``: also those whose lines are to be joined."""
+        out = pc.match_substring_regex(texts, SUSPECT_WHOLE if whole else SUSPECT).to_numpy(zero_copy_only=False)
+        out |= pc.utf8_length(texts).to_numpy(zero_copy_only=False) <= self.widest
+        lists = pc.split_pattern_regex(texts, r"[^\p{L}\p{N}!]+")
+        coded = lists.flatten().dictionary_encode()
+        odd = np.fromiter((self._odd_piece(w) for w in coded.dictionary.to_pylist()), bool, len(coded.dictionary))
+        bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+        upto = np.concatenate([[0], np.cumsum(odd[coded.indices.to_numpy(zero_copy_only=False)])])
+        return out | (upto[bounds[1:]] > upto[bounds[:-1]])
+
+    def _odd_piece(self, piece: str) -> bool:
+        if (out := self.seen.get(piece)) is None:
+            out = any(self.is_odd(w) for w in PART.findall(piece))
+            if len(self.seen) < 1 << 20:
+                self.seen[piece] = out
+        return out
 
     def compounds(self) -> list[str]:
         if not hasattr(self, "_compounds"):
@@ -394,19 +493,27 @@ class Cleaner:
         return self._compounds
 
 
+def _counted(texts: pa.Array) -> Counter[str]:
+    """Words of the texts as they stand. A word broken at a line end counts by neither half, since whether the mark is part of it isn't known yet."""
+    counts: Counter[str] = Counter()
+    odd = pc.match_substring_regex(texts, _PLAIN)
+    for t in texts.filter(odd).to_pylist():
+        counts.update(WORD.findall(BROKEN.sub(" ", form(t)[0])))
+    plain = pc.replace_substring_regex(texts.filter(pc.invert(odd)), BROKEN_PLAIN, " ")
+    pieces = pc.value_counts(pc.split_pattern_regex(plain, r"[^\p{L}\p{N}!-]+").flatten())
+    for piece, n in zip(pieces.field(0).to_pylist(), pieces.field(1).to_pylist()):
+        for w in WORD.findall(piece):
+            counts[w] += n
+    return counts
+
+
 def vocabulary(texts: DataFrame) -> DataFrame:
     """(word, n) over a DataFrame with one column of texts; counts of a batch are added up where it is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter[str] = Counter()
-            for t in batch.column(0).to_pylist():
-                if t:
-                    t = t if t.isascii() else form(t)[0]
-                    t = BROKEN.sub(" ", t) if "\n" in t else t  # whether the mark is part of the word isn't known yet
-                    seen.update(WORD.findall(t))
             folded: Counter[str] = Counter()
-            for w, n in seen.items():
+            for w, n in _counted(batch.column(0).cast(pa.string()).drop_null()).items():
                 f = fold(w)
                 folded[f] += n
                 if "-" in f:
@@ -420,18 +527,30 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 def learned(spark: SparkSession, d: str) -> tuple[set[str], dict[str, int], list[str]]:
     """Trusted words, the counts of words of at least SHARE of all, and the books of the canon."""
     texts = table(spark, d, "page_boxes").select("text").unionAll(table(spark, d, "verses").select("text"))
-    words = vocabulary(texts).persist()
+    words = checkpointed(vocabulary(texts))
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # of at most 1 / SHARE words, whatever the size of the texts
     frequent = {r.word: r.n for r in words.filter((F.col("n") >= SHARE * total) & (F.col("n") >= COUNT)).collect()}
-    words.unpersist()
     listed = {w.lower() for (w,) in table(spark, d, "word_list").select("word").distinct().limit(200_001).collect() if w}
     if len(listed) > 200_000:
         raise ValueError("the word list is a small fixed table")
-    books = [b for (b,) in table(spark, d, "canon_books").select("book").distinct().limit(10_001).collect() if b]
+    books = [b for (b,) in table(spark, d, "canon_books").select("book").distinct().limit(MOST_BOOKS + 1).collect() if b]
+    if len(books) > MOST_BOOKS:
+        raise ValueError(f"more than {MOST_BOOKS} books in the canon")
     return trusted_words(frequent, {fold(w) for w in listed}, total), frequent, books
 
 
+_CLEANERS: dict[str, Cleaner] = {}
+
+
+def _cleaner(name: str, sent: Broadcast) -> Cleaner:
+    """One cleaner for each Python worker and vocabulary."""
+    if name not in _CLEANERS:
+        _CLEANERS.clear()
+        _CLEANERS[name] = Cleaner(*sent.value)
+    return _CLEANERS[name]
+
+
 #: A box in the margin of a page (page numbers) is set smaller than body text and lies at the foot.
 MARGIN_SIZE, MARGIN_FOOT = 9.0, 50.0
 
@@ -445,7 +564,7 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
     # only beginnings and ends go through the window of a page, not texts
     heads = boxes.select("box_id", "source", "page", F.when(~F.coalesce(small, F.lit(False)), F.regexp_extract("text", r"^\s*(\p{Ll}[\p{L}\p{N}!]*)", 1)).alias("head")).distinct()
     order = Window.partitionBy("source", "page").orderBy("box_id")
-    ahead = F.coalesce(*(F.when(F.lead("head", k).over(order) != "", F.lead("head", k).over(order)) for k in (1, 2, 3)))
+    ahead = F.first(F.nullif("head", F.lit("")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
     nxt = heads.withColumn("ahead", ahead).filter("ahead is not null").select("box_id", "ahead")
     ends = F.col("text").rlike(rf"{HYPHEN}\s*$")
     open_boxes = boxes.filter(ends).join(nxt.groupBy("box_id").agg(F.min("ahead").alias("ahead")), "box_id", "left").select("box_id", "source", "page", "y_top", "sz", "text", "ahead")
@@ -457,17 +576,18 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, d: str, texts: bool) -> DataFrame:
     """(rec_table, rec_id, kinds, text) of the records with noise; ``texts``: with the repaired text, else null, and of all that the repair changes."""
-    sent = spark.sparkContext.broadcast(learned(spark, d))
+    sent, name = spark.sparkContext.broadcast(learned(spark, d)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cleaner = Cleaner(*sent.value)
+        cleaner = _cleaner(name, sent)
         for batch in batches:
+            batch = batch.filter(pa.array(cleaner.suspects(batch.column(4).cast(pa.string()), texts)))
             out: list[tuple] = []
             for where, key, source, small, text, ahead, page in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 kinds, body = cleaner.clean(text, title_of(source), small, ahead, page)
                 if kinds or texts and body != text:
                     out.append((where, key, sorted(kinds), body if texts else None))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["rec_table", "rec_id", "kinds", "text"]), schema=SCHEMA, preserve_index=False)
+            yield pa.RecordBatch.from_arrays([pa.array(c, SCHEMA.field(i).type) for i, c in enumerate(zip(*out) if out else [[]] * 4)], schema=SCHEMA)
 
     return _records(spark, d).mapInArrow(run, "rec_table string, rec_id long, kinds array<string>, text string")
 
@@ -516,19 +636,18 @@ def boundaries(parts: list[tuple[str, bool, bool]]) -> list[int]:
 
 def paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """(source, page, paragraph, first_box, n_boxes, text): continuous paragraphs of each page. A page is bounded by its print; repeated boxes are dropped before."""
-    sent = spark.sparkContext.broadcast(learned(spark, d))
+    sent, name = spark.sparkContext.broadcast(learned(spark, d)), uuid.uuid4().hex
     boxes = table(spark, d, "page_boxes").select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("page", F.lit(-1)).alias("page"), F.col("box_id").cast("long").alias("box_id"), "y_top", "sz", "text").filter("text is not null and text <> ''").distinct()
 
     def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        if not hasattr(page, "cleaner"):
-            page.cleaner = Cleaner(*sent.value)
+        cleaner = _cleaner(name, sent)
         pdf = pdf.sort_values("box_id")
         source, number = pdf.source.iloc[0], pdf.page.iloc[0]
         body = pdf.sz[pdf.text.str.len() > 60].median()
         parts, ids, carried, holder = [], [], "", 0
         texts = pdf.text.tolist()
         for k, (key, top, size, text) in enumerate(zip(pdf.box_id, pdf.y_top, pdf.sz, texts)):
-            kinds, fixed = page.cleaner.clean(text, title_of(source), bool(size < MARGIN_SIZE and top < MARGIN_FOOT), next((t for t in texts[k + 1 : k + 4] if t[:1].islower()), None), int(number))
+            kinds, fixed = cleaner.clean(text, title_of(source), bool(size < MARGIN_SIZE and top < MARGIN_FOOT), next((t for t in texts[k + 1 : k + 4] if t[:1].islower()), None), int(number))
             if not fixed.strip():
                 continue
             apart = bool(size < body - 0.5)
