@@ -17,10 +17,12 @@ def test_parsers(spark):
     assert one(a.split_ezra(s(10))) == ("Ezra", 10) and one(a.split_ezra(s(11))) == ("Nehemiah", 1)
     assert one(a.named_book(s("The Prophecy of JOEL"), ["Hosea", "Joel"])) == "Joel" and one(a.named_book(s("none"), ["Hosea"])) is None
     assert [tuple(x) for x in one(a.control_parts(s("tn chapter \x18\x04sn note\x04 ")))] == [("tn", "chapter 2"), ("sn", "note")]
-    assert one(a.attribution(s("St. John Chrysostom. Homily LIX on Matthew. B#54"))) == ("John Chrysostom", "Homily LIX on Matthew") and one(a.attribution(s("none"))) == (None, None)
-    assert one(a.work_reference(s("Homily LIX on Matthew XVIII, 4, 5-7"))) == ("Homily LIX on Matthew 18", 18, 4, 7, "4, 5-7") and one(a.work_reference(s("Homily"))) is None
+    assert one(a.attribution(s("St. Orsolo of Vantry. Sermon IV on Ruth. B#3"))) == ("Orsolo of Vantry", "Sermon IV on Ruth") and one(a.attribution(s("none"))) == (None, None)
+    assert one(a.work_reference(s("Sermon IV on Ruth III, 4, 5-7"))) == ("Sermon IV on Ruth 3", 3, 4, 7, "4, 5-7") and one(a.work_reference(s("Sermon on Ruth III, x"))) is None and one(a.work_reference(s("Homily"))) is None
     assert one(a.same_book_reference(s("see 1 Jn 3:4-6"), ["Jn", "1 Jn"])) == (4, 6) and one(a.same_book_reference(s("no"), ["Jn"])) is None
     assert one(a.from_title(s("said\nTHE TITLE OF ALL\nbody"))) == "THE TITLE OF ALL\nbody" and one(a.from_title(s("body"))) == ""
+    assert [one(a.context_header(s(x))) for x in ("Sunday of the Lamp", "in the GREAT LENT", "7th week", "x (OGL) y", "A GREAT LAMP")] == [True, True, True, True, False]
+    assert one(a.from_title(s("MONDAY OF THE SECOND WEEK\nTHE TITLE OF ALL"))) == "THE TITLE OF ALL"
     assert [one(a.canonical_title(s(x))) for x in ("1 Samuel", "2 Peter", "Ruth")] == ["I Kingdoms", "II Peter", "Ruth"]
     assert one(a.note_marker(s("Psalms"), s(3), s("S"), s("n1"), s("*"), s("nt"))) == '<sup class="nt">[[Psalm 3 — S Notes#^n1|*]]</sup>'
 

@@ -95,6 +95,10 @@ def test_classifiers(spark):
     got = {x.s: x.k for x in spark.createDataFrame([(n,) for n in notes], "s string").select("s", c.study_note_type(F.col("s")).alias("k")).collect()}
     assert got == notes
     assert spark.range(1).select(c.father(F.lit("as Theoph says")), c.father(F.lit("none")), c.patristic_type(F.lit("Homily 3")), c.marker(F.lit("variant")), c.code_type(F.lit("zz"))).first()[:] == ("Theophylact of Ohrid", None, "homily", '<sup class="nt-tc">‡</sup>', None)
+    assert tuple(spark.range(1).select(c.attributed(F.lit("as AmbM says"), F.lit("Luke")).alias("a")).first().a) == ("Ambrose of Milan", "Commentary on Luke")
+    assert [x.k for x in spark.createDataFrame([("Or, so",), ("Some manuscripts,",), ("Job 3",), ("Acts 2",), ("i.e., so",)], "s string").select(c.translation_note_type(F.col("s")).alias("k")).collect()] == ["alternative", "variant", "cross_reference", "translator_note", "alternative"]
+    assert spark.range(1).select(c.code_type(F.lit("map")), c.code_type(F.lit("map"), printed=True)).first()[:] == ("background_note", "cross_reference")
+    assert spark.range(1).select(t.scan_repaired(F.lit("sce the Corin- thians | and Jobn, Hom-bom ilies of a moun- x tain"))).first()[0] == "see the Corinthians and John, Homilies of a mountain"
     names = {"St. Basil": True, "basil": False, "Basil 3": False, "Rev": False, "": False}
     assert {x.s: x.k for x in spark.createDataFrame([(n,) for n in names], "s string").select("s", c.plausible_author(F.col("s")).alias("k")).collect()} == names
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as t
+from .classify import TITLES
 
 
 def verse_anchor(c: Column) -> Column:
@@ -66,42 +69,65 @@ def control_parts(c: Column) -> Column:
 
 
 def attribution(c: Column) -> Column:
-    """struct(father, work) of ``Author. Work B#...``; the title St. is dropped, initials and titles stay with their name."""
-    plain = F.trim(F.split_part(t.collapsed(c), F.lit("B#"), F.lit(1)))
-    m = r"^((?:(?:St|Rev|Bp|Dr|[A-Z])\.\s+)*.+?)\.\s+(.+)$"
-    author = F.regexp_replace(F.regexp_extract(plain, m, 1), r"(?i)^(?:St\.|Saint)\s+", "")
-    return F.struct(F.nullif(author, F.lit("")).alias("father"), F.nullif(F.regexp_replace(F.regexp_extract(plain, m, 2), r"[.\s]+$", ""), F.lit("")).alias("work"))
+    """struct(father, work) of ``Author. Work B#...``: the author ends at the first word with a full stop that is neither an initial nor a title; the title St. before the name is dropped."""
+    words = F.split(F.trim(F.substring_index(t.collapsed(c), "B#", 1)), " ")
+    stop = F.array_position(F.transform(words, lambda w: w.endswith(".") & (F.length(w) > 2) & ~F.rtrim(w, F.lit(".")).isin(TITLES)), True).cast("int")
+    saint = F.lower(words[0]).isin("st.", "saint").cast("int")
+    whole = (stop > 0) & (stop < F.size(words))
+    author = F.array_join(F.slice(words, saint + 1, F.greatest(stop - saint, F.lit(0))), " ")
+    work = F.array_join(F.slice(words, F.greatest(stop + 1, F.lit(1)), F.size(words)), " ")
+    shown = lambda x: F.nullif(F.when(whole, F.rtrim(x, F.lit(" ."))), F.lit(""))
+    return F.struct(shown(author).alias("father"), shown(work).alias("work"))
 
 
 def work_reference(c: Column) -> Column:
-    """struct(work, chapter, verse_start, verse_end, section) of ``Work on Book CHAPTER, v, v-v``; null otherwise."""
-    m = r"(?i)^(.+?)\s+on\s+([A-Za-z][A-Za-z .'-]+?)\s+([IVXLC]+|\d+)((?:,\s*\d+(?:\s*-\s*\d+)?)*)$"
-    part = lambda i: F.regexp_extract(c, m, i)
-    numbers = F.regexp_extract_all(part(4), F.lit(r"(\d+)"), F.lit(1))
-    chapter = t.from_roman(part(3))
-    first, last = F.try_element_at(numbers, F.lit(1)).cast("int"), F.try_element_at(numbers, F.lit(-1)).cast("int")
-    section = F.nullif(F.trim(F.regexp_replace(part(4), r"^,", "")), F.lit(""))
-    return F.when(c.rlike(m), F.struct(F.concat(part(1), F.lit(" on "), part(2), F.lit(" "), chapter.cast("string")).alias("work"), chapter.alias("chapter"), first.alias("verse_start"), last.alias("verse_end"), section.alias("section")))
+    """struct(work, chapter, verse_start, verse_end, section) of ``Work on Book CHAPTER, v, v-v``, by its parts between commas: the first ends with the chapter, the others are verses; null otherwise."""
+    parts = F.transform(F.split(c, ","), lambda p: F.trim(p))
+    head = F.split(parts[0], r"\s+")
+    on = F.array_position(F.transform(head, lambda w: F.lower(w)), "on").cast("int")
+    chapter = t.from_roman(F.try_element_at(head, F.lit(-1)))
+    verses = F.slice(parts, 2, 1_000_000)
+    numbers = F.flatten(F.transform(verses, lambda p: F.transform(F.split(p, "-"), lambda n: F.trim(n).try_cast("int"))))
+    fits = (on > 1) & (F.size(head) - on >= 2) & chapter.isNotNull() & ~F.exists(numbers, lambda n: n.isNull())
+    work = F.concat_ws(" ", F.slice(head, 1, F.greatest(F.size(head) - 1, F.lit(0))), chapter.cast("string"))
+    ends = (F.try_element_at(numbers, F.lit(i)) for i in (1, -1))
+    return F.when(fits, F.struct(work.alias("work"), chapter.alias("chapter"), next(ends).alias("verse_start"), next(ends).alias("verse_end"), F.nullif(F.array_join(verses, ", "), F.lit("")).alias("section")))
 
 
 def same_book_reference(c: Column, aliases: list[str]) -> Column:
-    """struct(verse_start, verse_end) of the first alias, the longest first, that the text cites with chapter and verse."""
-    import re
-
+    """struct(verse_start, verse_end) of the longest alias that the text cites with chapter and verse: what follows each mention of it is read as a reference, the first that is one counts."""
     found = []
     for alias in sorted(aliases, key=len, reverse=True):
-        m = rf"(?i)\b{re.escape(alias)}\.?\s+(\d+):(\d+)(?:\s*[-–—]\s*(\d+))?"
-        start, end = F.regexp_extract(c, m, 2).try_cast("int"), F.regexp_extract(c, m, 3).try_cast("int")
-        found.append(F.when(c.rlike(m), F.struct(start.alias("verse_start"), F.coalesce(end, start).alias("verse_end"))))
+        after = F.slice(F.split(F.lower(c), rf"(?<![\p{{L}}\p{{N}}]){re.escape(alias.lower())}(?:\.\s+|\s+)"), 2, 1_000_000)
+        ref = F.filter(F.transform(after, t.reference), lambda r: r["verse"].isNotNull())
+        first = F.try_element_at(ref, F.lit(1))
+        found.append(F.when(first.isNotNull(), F.struct(first["verse"].alias("verse_start"), F.coalesce(first["verse_end"], first["verse"]).alias("verse_end"))))
     return F.coalesce(*found)
 
 
+# Words of a calendar that stand over an excerpt, not in it.
+CALENDAR = "WEEK SUNDAY MONDAY TUESDAY WEDNESDAY THURSDAY FRIDAY SATURDAY LITURGY MATINS TRIODION TRIODIAN PASCHA PENTECOST APPENDIX".split()
+SIGLA = ["OGL)", "APE)", "OPA)", "CFW)", "OPE)"]
+
+
+def context_header(line: Column) -> Column:
+    """Whether a line names a week, feast or service, or carries the siglum of one."""
+    words = F.split(F.upper(F.trim(line)), r"\s+")
+    bare = F.transform(words, lambda w: F.regexp_replace(w, r"^\W+|\W+$", ""))
+    lent = F.exists(F.zip_with(bare, F.slice(bare, 2, 1_000_000), lambda a, b: F.coalesce((a == "GREAT") & (b == "LENT"), F.lit(False))), lambda x: x)
+    return F.arrays_overlap(bare, F.array(*map(F.lit, CALENDAR))) | lent | F.exists(words, lambda w: F.regexp_extract(w, r"[A-Z]+\)", 0).isin(SIGLA))
+
+
+def title_line(line: Column) -> Column:
+    """Whether a line can be an excerpt's title: ten letters or more, none of them small, and no context header."""
+    return (F.length(F.regexp_replace(line, "[^A-Za-z]", "")) >= 10) & ~line.rlike(r"\p{Ll}") & ~context_header(line)
+
+
 def from_title(c: Column) -> Column:
-    """A body from its first title in capitals on; empty without one."""
+    """A body from its first title on; empty without one."""
     lines = F.split(c, "\n")
-    letters = lambda x: F.regexp_replace(x, "[^A-Za-z]", "")
-    place = F.array_position(F.transform(lines, lambda x: (F.length(letters(x)) >= 10) & (F.trim(x) == F.upper(F.trim(x)))), True)
-    return F.when(place > 0, F.trim(F.array_join(F.slice(lines, place.cast("int"), F.size(lines)), "\n"))).otherwise("")
+    place = F.array_position(F.transform(lines, title_line), True).cast("int")
+    return F.when(place > 0, F.trim(F.array_join(F.slice(lines, place, F.size(lines)), "\n"))).otherwise("")
 
 
 def labelled_notes(df: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -140,3 +142,19 @@ def kathisma(psalm: Column) -> Column:
     group = (place / 3).cast("int") + 1
     number = F.when(psalm == 118, 17).when(psalm.between(1, 150), F.when(group >= 17, group + 1).otherwise(group))
     return F.when(number.isNotNull(), F.struct(number.cast("int").alias("kathisma"), F.when(psalm == 118, 0).otherwise(place % 3 + 1).cast("int").alias("stasis")))
+
+
+# What a scan of one anthology reads, and what stands there, in the order of the repairs.
+SCAN_REPAIRS = [("B¥", "B#"), ("begotton", "begotten"), ("DOVETING", "DOUBTING"), ("Jobn", "John"), ("Hom-bom ilies", "Homilies"), ("Dis-Ii courses", "Discourses"), ("Hea ABA!", ""), ("k Myst. Cat.II,", "Myst. Cat.II,"), ("sce", "see"), ("seck", "seek"), ("Velimirovíć", "Velimirovic"), ("Velimirović", "Velimirovic")]
+#: Characters that only a scan puts there.
+SCAN_MARKS = "|{}@=£$"
+
+
+def scan_repaired(c: Column) -> Column:
+    """A scanned text without stray marks, with known misreadings put right as whole words, and with words broken by a mark and a space put together (a stray letter between the halves is dropped)."""
+    out = F.translate(c, SCAN_MARKS, " " * len(SCAN_MARKS))
+    for seen, right in SCAN_REPAIRS:
+        spaced = r"\s*".join(re.escape(w) for w in seen.replace("-", "- ").split())
+        out = F.regexp_replace(out, rf"(?iU)(?<!\w){spaced}(?!\w)" if seen != seen.upper() else rf"(?U)(?<!\w){spaced}(?!\w)", right)
+    halves = r"(?<=[A-Za-z]{2})-\s+(?:[A-Za-z]\s+)?(?=[A-Za-z]{2})"
+    return F.regexp_replace(F.regexp_replace(out, halves, ""), " {2,}", " ")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import classify, text as t
+from ..functions import anchors, classify, text as t
 from .ordered import forward_fill, islands, ordered_text
 
 
@@ -96,34 +96,34 @@ def notes(refs: DataFrame, defs: DataFrame, kind: Column) -> DataFrame:
     return joined.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
 
 
-def catena(blocks: DataFrame, headings: str, source_scope: tuple[str, ...] = ("source", "path")) -> DataFrame:
+def catena(blocks: DataFrame, headings: list[str], source_scope: tuple[str, ...] = ("source", "path"), blocked: tuple[str, ...] = ()) -> DataFrame:
     """Excerpts of a scanned anthology: (scope..., book, chapter, father, work, ptype, verse_start, verse_end, content, ins).
 
     A heading ``BOOK N`` opens a chapter; blocks that start with a number are scripture; a block with ``B#`` closes the
-    excerpt; its text runs from its first title in capitals. The verse is that of ``... on Book C, v, v``, else the
-    last scripture's. Bibliographies after the last excerpt close nothing. headings: alternatives of book names.
+    excerpt; its text runs from its first title in capitals, which no context header (week, feast, service) is. The verse is that of
+    ``... on Book C, v, v``, else the last scripture's. From a bibliography's first entry (``B1. ...``) to the next heading nothing is an
+    excerpt. headings: names of books; blocked: parts of authors' names in lower case that are left out.
     """
     order = ["blk"]
-    norm = t.collapsed(F.regexp_replace(F.regexp_replace("raw", r"[|{}@=£$]", " "), r"([A-Za-z]{2,})-\s+([A-Za-z]{2,})", "$1$2"))
-    b = blocks.withColumn("norm", norm)
-    head = rf"(?i)^({headings})\s+(\d{{1,3}})$"
-    b = b.withColumns({"__h": F.col("norm").rlike(head), "__cite": F.col("norm").contains("B#"), "__page": F.col("norm").rlike(r"^\d{1,4}$"), "__scripture": F.col("norm").rlike(r"^\d{1,3}\s+\D")})
-    letters = F.regexp_replace("norm", "[^A-Za-z]", "")
-    b = b.withColumn("__title", (F.length(letters) >= 10) & (F.col("norm") == F.upper("norm")) & ~F.col("__h"))
-    b = forward_fill(b, source_scope, order, F.col("__h"), F.struct(F.upper(F.regexp_extract("norm", head, 1)).alias("book"), F.regexp_extract("norm", head, 2).cast("int").alias("chapter")), "at")
-    b = forward_fill(b, source_scope, order, F.col("__h") | F.col("__scripture"), F.when(F.col("__scripture"), F.regexp_extract("norm", r"^(\d{1,3})", 1).cast("int")), "scripture_verse")
+    b = blocks.withColumn("norm", t.collapsed(t.scan_repaired(F.col("raw"))))
+    words = F.split(F.upper("norm"), " ")
+    name = F.array_join(F.slice(words, 1, F.size(words) - 1), " ")
+    number = F.try_element_at(words, F.lit(-1)).try_cast("int")
+    head = F.when(name.isin([h.upper() for h in headings]) & number.between(1, 999), F.struct(F.initcap(F.lower(name)).alias("book"), number.alias("chapter")))
+    first = F.try_element_at(F.split("norm", " "), F.lit(1))
+    b = b.withColumns({"__head": head, "__cite": F.col("norm").contains("B#"), "__page": F.col("norm").rlike(r"^\d{1,4}$"), "__verse": F.when((F.length(first) <= 3) & (F.size(words) > 1), first.try_cast("int"))})
+    b = b.withColumns({"__h": F.col("__head").isNotNull(), "__scripture": F.col("__verse").isNotNull() & ~F.col("__cite"), "__entry": F.col("norm").rlike(r"^[A-Z]\d+\.\s")})
+    b = b.withColumn("__title", anchors.title_line(F.col("norm")) & ~F.col("__h"))
+    b = forward_fill(b, source_scope, order, F.col("__h"), F.col("__head"), "at")
+    b = forward_fill(b, source_scope, order, F.col("__h") | F.col("__scripture"), F.col("__verse"), "scripture_verse")
+    b = forward_fill(b, source_scope, order, F.col("__h") | F.col("__entry"), F.col("__entry"), "__listed").filter(~F.coalesce(F.col("__listed"), F.lit(False)))
     b = islands(b.filter("not __page"), source_scope, order, F.col("__h") | F.col("__cite"), "island", inclusive=False)
     titled = Window.partitionBy(*source_scope, "island").orderBy("blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = b.withColumn("__in", F.max(F.col("__title").cast("int")).over(titled) == 1)
     body = ordered_text(b.filter("__in and not __cite and not __h and not __scripture"), [*source_scope, "island"], ["blk"], "raw", "\n\n", "content")
-    cites = b.filter("__cite and at.book is not null").withColumn("cite", F.trim(F.split_part("norm", F.lit("B#"), F.lit(1))))
-    author = F.regexp_replace(F.regexp_extract("cite", r"^((?:(?:St|Rev|Bp|Dr|[A-Z])\.\s+)*.+?)\.\s+(.+)$", 1), r"(?i)^(?:St\.|Saint)\s+", "")
-    work = F.regexp_replace(F.regexp_extract("cite", r"^((?:(?:St|Rev|Bp|Dr|[A-Z])\.\s+)*.+?)\.\s+(.+)$", 2), r"[.\s]+$", "")
-    on = r"(?i)^.+?\s+on\s+[A-Za-z][A-Za-z .'-]+?\s+[IVXLC\d]+((?:,\s*\d+(?:\s*-\s*\d+)?)+)$"
-    numbers = F.regexp_extract_all(F.regexp_extract("work", on, 1), F.lit(r"(\d+)"), F.lit(1))
-    cites = cites.withColumns({"father": author, "work": work})
-    cites = cites.filter(classify.plausible_author(F.col("father")) & ~F.lower("father").contains("scofield"))
-    start = F.coalesce(F.try_element_at(numbers, F.lit(1)).cast("int"), F.col("scripture_verse"))
-    end = F.coalesce(F.try_element_at(numbers, F.lit(-1)).cast("int"), F.col("scripture_verse"))
+    cites = b.filter("__cite and at.book is not null").withColumn("__who", anchors.attribution(F.col("norm")))
+    cites = cites.withColumns({"father": F.col("__who.father"), "work": F.col("__who.work")}).withColumn("__ref", anchors.work_reference(F.col("work")))
+    cites = cites.filter(classify.plausible_author(F.col("father")) & ~F.exists(F.array(*map(F.lit, blocked)).cast("array<string>"), lambda x: F.lower("father").contains(x)))
+    start, end = (F.coalesce(F.col(f"__ref.{c}"), F.col("scripture_verse")) for c in ("verse_start", "verse_end"))
     out = cites.join(body, [*source_scope, "island"])
-    return out.select(*source_scope, F.initcap(F.lower("at.book")).alias("book"), F.col("at.chapter").alias("chapter"), "father", "work", classify.patristic_type(F.concat_ws(" ", "work", "content")).alias("ptype"), start.alias("verse_start"), end.alias("verse_end"), "content", F.col("blk").alias("ins"))
+    return out.select(*source_scope, F.col("at.book").alias("book"), F.col("at.chapter").alias("chapter"), "father", "work", classify.patristic_type(F.concat_ws(" ", "work", "content")).alias("ptype"), start.alias("verse_start"), end.alias("verse_end"), "content", F.col("blk").alias("ins"))
