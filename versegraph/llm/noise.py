@@ -54,6 +54,9 @@ MOST_BOOKS = 10_000
 
 # What the scanner reads, and what stood there.
 CONFUSIONS = [("0", "o"), ("1", "l"), ("5", "s"), ("6", "b"), ("9", "g"), ("!", "i"), ("c", "e"), ("b", "h"), ("f", "t"), ("rn", "m"), ("vv", "w"), ("cl", "d"), ("ri", "n"), ("li", "h"), ("ii", "u"), ("m", "rn"), ("h", "li")]
+# The strokes a letter is made of, for the scanner: what it confuses has the same strokes.
+STROKE = {"0": "o", "1": "l", "5": "s", "6": "li", "9": "g", "!": "i", "c": "e", "b": "li", "h": "li", "f": "t", "n": "ri", "m": "rri", "w": "vv", "d": "el", "u": "ii"}
+STROKES = str.maketrans(STROKE)
 MARKS = "-‐‑­¬"
 HYPHEN = f"[{MARKS}]"
 LINE_END = re.compile(r"[^\S\n]*\n\s*")
@@ -203,6 +206,9 @@ class Decoder:
         self.longest = max(map(len, trusted), default=0) + 2
         # what the scanner makes of each word with one confusion, and the words it may have been, the most frequent first
         self.forms: dict[str, list[str]] = {}
+        self.strokes = {w.translate(STROKES) for w in trusted}
+        # what the strokes of a word can begin with
+        self.begins = {w[:k] for w in self.strokes for k in range(1, len(w) + 1)}
         for word in sorted(trusted, key=lambda w: (-counts.get(w, 0), w)):
             if len(word) > 2:
                 for seen, was in CONFUSIONS:
@@ -215,7 +221,7 @@ class Decoder:
         """The trusted reading of ``word`` with the fewest confusions and their number, or ('', 0). The first ``fixed`` characters are capitals, which the scanner kept."""
         if word in self.trusted:
             return word, 0
-        if len(word) < 3 and word.isalpha():
+        if len(word) < 3 and word.isalpha() or word.translate(STROKES) not in self.strokes:
             return "", 0
         key = (word, fixed)
         if (out := self.read_memo.get(key)) is None:
@@ -253,12 +259,19 @@ class Decoder:
         if not whole:
             # best[i]: cost, begin and word of the last piece, confusions of the path to i; places that no path reaches are left out
             best: dict[int, tuple[float, int, str, int]] = {0: (0.0, 0, "", 0)}
+            strokes = [STROKE.get(c, c) for c in stretch]
             for i in range(len(stretch)):
                 if i not in best:
                     continue
                 cost, _, _, wrong = best[i]
                 cost += LOST if i else 0
-                for j in range(i + 3, min(len(stretch), i + self.longest) + 1):
+                drawn = ""
+                for j in range(i + 1, len(stretch) + 1):
+                    drawn += strokes[j - 1]
+                    if drawn not in self.begins:
+                        break
+                    if j - i < 3 or drawn not in self.strokes:
+                        continue
                     piece = stretch[i:j]
                     got, more = (piece, 0) if piece in self.trusted else self.read(piece, max(0, fixed - i)) if j - i > 4 else ("", 0)
                     if got and (j not in best or cost + MISREAD * more < best[j][0]):
@@ -278,7 +291,7 @@ class Decoder:
 # Characters read for digits.
 DIGITS = str.maketrans("lIOo°", "11000")
 #: Characters of plain texts; those outside are brought to one form first. Lines with under three small letters, or like a title, may be margins.
-_PLAIN = r"[^\x00-\x7FÀ-ɏ‐-„…«»–—]"
+_PLAIN = r"[^\x00-\x7FÀ-ɏ–—‘-‟…«»]"
 SUSPECT = rf"{HYPHEN}[ \t]*(?:\n|$)|{HYPHEN} +|[­¬]|[ \t]{{2,}}|{_PLAIN}|[^a-z\n]{{4}}[0-9lIOo°][ \t]*$|(?:^|\n)[^a-zß-öø-ÿ\n]*(?:[a-zß-öø-ÿ][^a-zß-öø-ÿ\n]*){{0,9}}(?:\n|$)|(?:^|\n)[ \t]*Th[ec] "
 SUSPECT_WHOLE = rf"\n|{SUSPECT}"
 KINDS = {"page": {"page_number"}, "header": {"header"}, "both": {"header", "page_number"}}
@@ -389,19 +402,22 @@ class Cleaner:
         folded = [fold(w) for w in words]
         strange = [w in odd for w in words]
         n, longest = len(words), self.decoder.longest
-        best: list[tuple[float, int, str, int, bool]] = [(0.0, 0, "", 0, False)] + [(1e9, 0, "", 0, False)] * n
-        for i, w in enumerate(words):
-            base = best[i][0] + (OPEN if i and ends[i - 1] else 0)
+        # each part by itself: cost, reading, confusions; and the cost of a path of such parts, which others have to beat
+        alone: list[tuple[float, str, int]] = []
+        upto = [0.0]
+        for i, (w, f) in enumerate(zip(words, folded)):
+            one = (0.0, w, 0)
             if strange[i]:
-                f = folded[i]
                 out, wrong, _ = self.decoder.decode(f, 1 if w[:1].isupper() and len(f) == len(w) else 0)
                 changed = wrong or " " in out
-                cost = LOST * out.count(" ") + MISREAD * wrong if changed else UNKNOWN + len(f)
-                option = (base + cost, i, (out.capitalize() if w[:1].isupper() else out) if changed else w, wrong, False)
-            else:
-                option = (base, i, w, 0, False)
-            if option[0] < best[i + 1][0]:
-                best[i + 1] = option
+                one = (LOST * out.count(" ") + MISREAD * wrong, out.capitalize() if w[:1].isupper() else out, wrong) if changed else (UNKNOWN + len(f), w, 0)
+            alone.append(one)
+            upto.append(upto[-1] + one[0] + (OPEN if i and ends[i - 1] else 0))
+        best: list[tuple[float, int, str, int, bool]] = [(0.0, 0, "", 0, False)] + [(1e9, 0, "", 0, False)] * n
+        for i, w in enumerate(words):
+            base = best[i][0] + (OPEN if i and ends[i - 1] else 0)
+            if base + alone[i][0] < best[i + 1][0]:
+                best[i + 1] = (base + alone[i][0], i, alone[i][1], alone[i][2], False)
             if first_held and i == 0 and not (ends and ends[0]):
                 continue
             cost, any_odd, at_ends = base, strange[i], True
@@ -411,8 +427,10 @@ class Cleaner:
                 at_ends = at_ends and ends[j - 1]
                 any_odd = any_odd or strange[j]
                 plain, f, hyphened = plain + words[j], f + folded[j], hyphened + ("-" if ends[j - 1] else "") + folded[j]
-                if cost >= best[n][0] or drop[j - 1] == OPEN or not at_ends and len(f) - len(folded[i]) - len(folded[j]) > longest or last_held and j == n - 1 and not ends[j - 1]:
+                if drop[j - 1] == OPEN or not at_ends and len(f) - len(folded[i]) - len(folded[j]) > longest or last_held and j == n - 1 and not ends[j - 1]:
                     break
+                if cost >= base + upto[j + 1] - upto[i] - (OPEN if i and ends[i - 1] else 0) or cost >= best[j + 1][0]:
+                    continue
                 parts = words[i : j + 1]
                 torn_only = all(torn[i:j])
                 if not torn_only:
