@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from versegraph.functions import classify as c, text as t
 from versegraph.operators import ordered as o, references, relational as r
-from versegraph.plans import orphans, ordered, relational, render, text, validate
+from versegraph.plans import markup, orphans, ordered, pages, parsers, relational, render, rules, text, validate
 
 D = "/root/testdata/sf0.001"
-CORE = {name: f for m in (orphans, ordered, relational, text, render, validate) for name, f in m.queries.items()}
-SQL = {name: sql for m in (orphans, ordered, relational, text, render, validate) for name, sql in m.oracles.items()}
+CORE = {name: f for m in (orphans, ordered, relational, text, render, validate, pages, rules, markup, parsers) for name, f in m.queries.items()}
+SQL = {name: sql for m in (orphans, ordered, relational, text, render, validate, pages, rules, markup, parsers) for name, sql in m.oracles.items()}
 
 
 def cell(x):

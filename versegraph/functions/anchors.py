@@ -41,6 +41,19 @@ def book_key(c: Column) -> Column:
     return F.regexp_replace(c, r"\d+(?=\.[a-z]+$)|\d+$", "")
 
 
+def verse_href(c: Column) -> Column:
+    """struct(file, chapter, verse) of a link to a verse, ``john2.html#John_vchap3-19``; null for other links."""
+    target = verse_anchor(F.split_part(c, F.lit("#"), F.lit(-1)))
+    file = F.split_part(F.split_part(c, F.lit("#"), F.lit(1)), F.lit("/"), F.lit(-1))
+    return F.when(c.contains("#") & target["verse"].isNotNull(), F.struct(file.alias("file"), target["chapter"].alias("chapter"), target["verse"].alias("verse")))
+
+
+def verse_link(book: Column, chapter: Column, verse: Column, shown: Column) -> Column:
+    """The wikilink of a verse, as shown; without a book what is shown alone."""
+    link = t.wikilink(F.concat(t.file_prefix(book), F.lit(" "), chapter.cast("string")), F.concat(F.lit("v"), verse.cast("string")), shown)
+    return F.coalesce(link, shown)
+
+
 def note_marker(book: Column, chapter: Column, source: Column, note_id: Column, symbol: Column, css: Column) -> Column:
     """A superscript link to a note in the source's companion."""
     return F.concat(F.lit('<sup class="'), css, F.lit('">[['), t.file_prefix(book), F.lit(" "), chapter.cast("string"), F.lit(" — "), source, F.lit(" Notes#^"), note_id, F.lit("|"), symbol, F.lit("]]</sup>"))

@@ -158,3 +158,10 @@ def scan_repaired(c: Column) -> Column:
         out = F.regexp_replace(out, rf"(?iU)(?<!\w){spaced}(?!\w)" if seen != seen.upper() else rf"(?U)(?<!\w){spaced}(?!\w)", right)
     halves = r"(?<=[A-Za-z]{2})-\s+(?:[A-Za-z]\s+)?(?=[A-Za-z]{2})"
     return F.regexp_replace(F.regexp_replace(out, halves, ""), " {2,}", " ")
+
+
+def inline_fragments(c: Column) -> Column:
+    """array of struct(verse, text): a text cut at the verse numbers that stand directly before a letter (``18text``); what stands before the first has a null verse."""
+    cut = F.split(F.regexp_replace(c, r"(?<!\d)(\d+)(?=\p{L})", "\x00$1\x01"), "\x00")
+    parts = F.transform(cut, lambda p: F.struct(F.when(p.contains("\x01"), F.split_part(p, F.lit("\x01"), F.lit(1))).try_cast("int").alias("verse"), F.trim(F.split_part(p, F.lit("\x01"), F.lit(-1))).alias("text")))
+    return F.filter(parts, lambda x: x["verse"].isNotNull() | (x["text"] != ""))

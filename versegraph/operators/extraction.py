@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import anchors, classify, text as t
+from ..functions.session import small
 from .ordered import forward_fill, islands, ordered_text
+from .relational import FEW, overridden, two_step
 
 
 @dataclass
@@ -32,8 +34,8 @@ def verses(events: DataFrame, layout: Layout, separator: str = " ") -> DataFrame
     e = forward_fill(e, layout.scope, order, F.col("__c").isNotNull(), F.col("__c"), "chapter")
     opens = F.col("__c").isNotNull() | F.col("__v").isNotNull()
     e = forward_fill(e, layout.scope, order, opens, F.col("__v"), "verse")
-    texts = e.filter(F.col("__t") & F.col("chapter").isNotNull() & F.col("verse").isNotNull() & (F.trim("text") != ""))
-    joined = ordered_text(texts.withColumn("text", t.collapsed(F.col("text"))), [*layout.scope, "chapter", "verse"], order, "text", separator, "text")
+    texts = e.filter(F.col("__t") & F.col("chapter").isNotNull() & F.col("verse").isNotNull()).withColumn("text", t.collapsed(F.col("text"))).filter("text <> ''")
+    joined = ordered_text(texts, [*layout.scope, "chapter", "verse"], order, "text", separator, "text")
     return joined.withColumn("text", t.tight_marks(t.collapsed(F.col("text"))))
 
 
@@ -96,6 +98,32 @@ def notes(refs: DataFrame, defs: DataFrame, kind: Column) -> DataFrame:
     return joined.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
 
 
+def back_linked(notes: DataFrame, files: DataFrame, overrides: DataFrame, canon: DataFrame) -> DataFrame:
+    """(note_id, book, chapter, verse, verse_end, content): notes (note_id, href, ref, content) placed by the file they link back to and the reference they begin with.
+
+    The file's book is looked up by its name (files: file, book), then by its name without the number at its end; overrides (note_id, book)
+    go first, for books that lie within another's file. Notes without a book, and those on chapters that the canon (book, chapter_count) hasn't, are dropped.
+    """
+    n = notes.withColumn("__file", F.split_part(F.split_part("href", F.lit("#"), F.lit(1)), F.lit("/"), F.lit(-1)))
+    n = overridden(two_step(n, files, "__file", anchors.book_key(F.col("__file")), "file", "book", "book"), overrides, "note_id", "book")
+    at = t.reference(t.heading_reference(F.col("ref")))
+    n = n.filter("book is not null").withColumns({"chapter": at["chapter"], "verse": at["verse"], "verse_end": at["verse_end"]})
+    counts = small(canon.select("book", "chapter_count").distinct(), FEW)
+    return n.join(counts, "book").filter("chapter between 1 and chapter_count and verse is not null").select("note_id", "book", "chapter", "verse", "verse_end", "content")
+
+
+def promoted(notes: DataFrame) -> DataFrame:
+    """The notes that name a Father, as excerpts: with father and work."""
+    named = notes.withColumn("__who", classify.attributed(F.col("content"), F.col("book"))).filter("__who is not null")
+    return named.withColumns({"father": F.col("__who.father"), "work": F.col("__who.work")}).drop("__who")
+
+
+def referred(notes: DataFrame) -> DataFrame:
+    """Notes that name a Father end with a pointer to his excerpts."""
+    who = classify.father(F.col("content"))
+    return notes.withColumn("content", F.when(who.isNotNull(), F.concat("content", F.lit(" → See Fathers"))).otherwise(F.col("content")))
+
+
 def catena(blocks: DataFrame, headings: list[str], source_scope: tuple[str, ...] = ("source", "path"), blocked: tuple[str, ...] = ()) -> DataFrame:
     """Excerpts of a scanned anthology: (scope..., book, chapter, father, work, ptype, verse_start, verse_end, content, ins).
 

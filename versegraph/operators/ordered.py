@@ -99,6 +99,28 @@ def plausible(df: DataFrame, scope: Sequence[str], order: Sequence[str], number:
     return rows.select(*scope, fold.alias(out))
 
 
+# Letters that a scan reads for digits.
+AS_DIGITS = ("lIOoSB", "110058")
+
+
+def verse_sequence(df: DataFrame, scope: Sequence[str], order: Sequence[str], token: str, most: int = 176, step: int = 25) -> DataFrame:
+    """One row a scope with ``accepted``: array of struct(number, how) of the markers that a reader takes for verse numbers, in order.
+
+    A marker is read with letters for digits. It is accepted (``next``) if it goes on by at most ``step`` and is no more than ``most``; it
+    begins anew (``reset``) if it is 1 or 2 after 3 or more; it stands for the expected number (``repaired``) if that differs from it in one
+    character. Others are dropped. A scope is a page or a chapter.
+    """
+    rows = df.filter(F.col(token).isNotNull()).groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct(*order, F.translate(F.col(token), *AS_DIGITS).alias("__t")))).alias("__r"))
+    last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1))["number"], F.lit(0))
+    take = lambda a, n, how: F.concat(a, F.array(F.struct(n.cast("int").alias("number"), F.lit(how).alias("how"))))
+
+    def read(a: Column, seen: Column) -> Column:
+        n, at = seen.try_cast("int"), last(a)
+        return F.when((n > at) & (n <= at + step) & (n <= most), take(a, n, "next")).when(n.isin(1, 2) & (at >= 3), take(a, n, "reset")).when((at < most) & (F.levenshtein(seen, (at + 1).cast("string")) == 1), take(a, at + 1, "repaired")).otherwise(a)
+
+    return rows.select(*scope, F.aggregate(F.transform("__r", lambda r: r["__t"]), F.array().cast("array<struct<number:int,how:string>>"), read).alias("accepted"))
+
+
 def reading_order(df: DataFrame, scope: Sequence[str], x: str, y: str, width: Column, tie: Sequence[str], out: str) -> DataFrame:
     """``out``: place in the reading order of a two-column page: left column first, each from the top (y grows upwards)."""
     column = F.when(F.col(x) < width / 2, 0).otherwise(1)

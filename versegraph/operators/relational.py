@@ -79,3 +79,24 @@ def wide_to_long(df: DataFrame, keys: Sequence[str], groups: Sequence[Sequence[s
     empty = F.array_position(F.transform(entries, lambda e: F.coalesce(e[names[0]].cast("string"), F.lit("")) == ""), True)
     kept = F.slice(entries, 1, F.when(empty == 0, F.size(entries)).otherwise(empty - 1).cast("int"))
     return df.select(*keys, F.posexplode(kept).alias("pos", "e")).select(*keys, (F.col("pos") + 1).cast("int").alias("pos"), *(F.col(f"e.{n}").alias(n) for n in names))
+
+
+def two_step(df: DataFrame, names: DataFrame, key: str, retry: Column, name: str, value: str, out: str) -> DataFrame:
+    """``out``: the value of the table ``names`` for ``key`` or else for ``retry``; null without either."""
+    first = looked_up(df, names, key, name, value, "__first", F.lit(None).cast("string")).withColumn("__retry", retry)
+    return looked_up(first, names, "__retry", name, value, out, F.lit(None).cast("string")).withColumn(out, F.coalesce("__first", out)).drop("__first", "__retry")
+
+
+def overridden(df: DataFrame, overrides: DataFrame, key: str, value: str) -> DataFrame:
+    """``df`` with ``value`` replaced where ``overrides`` (key, value) has another; the least of several overrides of a key."""
+    least = overrides.select(F.col(key), F.col(value).alias("__over")).groupBy(key).agg(F.min("__over").alias("__over"))
+    return df.join(least, key, "left").withColumn(value, F.coalesce("__over", value)).drop("__over")
+
+
+def ranked(df: DataFrame, scope: Sequence[str], order: Sequence, kind: str, kinds: Sequence[str], last: Sequence, out: str) -> DataFrame:
+    """``out``: place in the scope by ``order``, then by the kind's place in ``kinds``, then by ``last``; other kinds are dropped. A scope is a chapter."""
+    from pyspark.sql import Window
+
+    rank = F.array_position(F.array(*map(F.lit, kinds)), F.col(kind))
+    window = Window.partitionBy(*scope).orderBy(*order, "__rank", *last)
+    return df.withColumn("__rank", rank).filter("__rank > 0").withColumn(out, F.row_number().over(window).cast("long")).drop("__rank")

@@ -28,6 +28,36 @@ def nav(*parts: Column) -> Column:
     return F.concat_ws(" · ", *parts)
 
 
+def _to(prefix: Column, chapter: Column, suffix: str | None, shown: str) -> Column:
+    file = F.concat(prefix, F.lit(" "), chapter.cast("string"), F.lit(f" — {suffix}" if suffix else ""))
+    return t.wikilink(file, label=F.lit(shown))
+
+
+def hub_nav(book: Column, chapter: Column, old: Column, greek: Column, notes: Column, fathers: Column) -> Column:
+    """The ways to read a chapter, in the order of the slots: own text, a translation by testament, Greek by testament, a modern text, all of them, notes, Fathers; the last flags say what is there."""
+    to = lambda suffix, shown: _to(t.file_prefix(book), chapter, suffix, shown)
+    slots = [to(None, "OSB"), F.when(old, to("Lexham", "Lexham")).otherwise(to("EOB", "EOB")), F.when(greek, F.when(old, to("LXX", "LXX")).otherwise(to("Greek NT", "Greek NT")))]
+    slots += [to("NET", "NET"), to("Translations", "+"), F.when(notes, to("OSB Notes", "Study Notes")), F.when(fathers, to("Fathers", "Fathers"))]
+    return F.concat(F.lit("> **Modes:** "), nav(*slots))
+
+
+def companion_nav(book: Column, chapter: Column, notes: str | None, text: str | None, net: bool, fathers: Column) -> Column:
+    """The ways from a companion: hub, its own notes, its own text, the modern text or its notes, Fathers."""
+    to = lambda suffix, shown: _to(t.file_prefix(book), chapter, suffix, shown)
+    slots = [to(None, "Hub"), *(to(x, x) for x in (notes, text) if x), to("NET", "NET text") if net else to("NET Notes", "NET Notes"), F.when(fathers, to("Fathers", "Fathers"))]
+    return F.concat(F.lit("> **Nav:** "), nav(*slots))
+
+
+def navigation(spark: SparkSession, d: str) -> DataFrame:
+    """Navigation of every canonical chapter that an edition has, in its hub and in two companions; Greek where at least two editions have it, notes and Fathers where it is cited so."""
+    have = table(spark, d, "verses").groupBy("book", "chapter").agg((F.count_distinct("source") >= 2).alias("greek"))
+    cited = table(spark, d, "verse_refs").groupBy("book", "chapter").agg((F.count_if(F.col("origin") == "note") > 0).alias("notes"), (F.count_if(F.col("origin") == "catena") > 0).alias("fathers"))
+    c = have.join(cited, ["book", "chapter"], "left").join(_canon(spark, d).select("book", "testament"), "book")
+    flag = lambda name: F.coalesce(name, F.lit(False))
+    at = (F.col("book"), F.col("chapter"))
+    return c.select("book", "chapter", hub_nav(*at, F.col("testament") != "NT", F.col("greek"), flag("notes"), flag("fathers")).alias("hub"), companion_nav(*at, "EOB Notes", None, False, flag("fathers")).alias("text"), companion_nav(*at, None, None, True, flag("fathers")).alias("net_notes"))
+
+
 def hubs(spark: SparkSession, d: str) -> DataFrame:
     """(source, book, chapter, rel_path, content): the hub of every chapter with front matter, navigation, titles and verses."""
     v = verses_now(spark, d).filter("text is not null and text <> ''")
@@ -104,12 +134,18 @@ def finding_lines(spark: SparkSession, d: str) -> DataFrame:
     return f.select("finding_id", F.concat_ws(" ", F.concat(F.lit("["), F.col("severity"), F.lit("]")), "code", where, F.concat(F.lit("— "), F.col("message")), F.concat(F.lit("(expected "), F.col("expected"), F.lit(", got "), F.coalesce("actual", F.lit("nothing")), F.lit(")")), F.concat(F.lit("→ "), F.col("suggestion"))).alias("entry"))
 
 
-queries = {f.__name__: f for f in (hub_render, nested_notes, marked_text, book_index, section_index, translations_hub, frontmatter_emit, path_template, finding_lines)}
+queries = {f.__name__: f for f in (hub_render, navigation, nested_notes, marked_text, book_index, section_index, translations_hub, frontmatter_emit, path_template, finding_lines)}
 
 _REFS = "(SELECT DISTINCT * FROM verse_refs WHERE source IS NOT NULL AND book IS NOT NULL AND verse IS NOT NULL)"
 _FOLDER = "CASE WHEN testament = 'NT' THEN '02 - New Testament' ELSE '01 - Old Testament' END"
 
+_P = "CASE WHEN h.book = 'Psalms' THEN 'Psalm' ELSE h.book END || ' ' || h.chapter"
 oracles = {
+    "navigation": f"""WITH h AS (SELECT book, chapter, count(DISTINCT source) >= 2 AS greek FROM verses GROUP BY 1, 2), r AS (SELECT book, chapter, count_if(origin = 'note') > 0 AS notes, count_if(origin = 'catena') > 0 AS fathers FROM verse_refs GROUP BY 1, 2),
+n AS (SELECT h.book, h.chapter, {_P} AS p, c.testament <> 'NT' AS old, greek, coalesce(notes, false) AS notes, CASE WHEN fathers THEN ' · [[' || {_P} || ' — Fathers|Fathers]]' ELSE '' END AS f FROM h LEFT JOIN r ON h.book = r.book AND h.chapter = r.chapter JOIN canon_books c ON c.book = h.book)
+SELECT book, chapter, '> **Modes:** [[' || p || '|OSB]] · [[' || p || CASE WHEN old THEN ' — Lexham|Lexham]]' ELSE ' — EOB|EOB]]' END || CASE WHEN NOT greek THEN '' WHEN old THEN ' · [[' || p || ' — LXX|LXX]]' ELSE ' · [[' || p || ' — Greek NT|Greek NT]]' END
+  || ' · [[' || p || ' — NET|NET]] · [[' || p || ' — Translations|+]]' || CASE WHEN notes THEN ' · [[' || p || ' — OSB Notes|Study Notes]]' ELSE '' END || f AS hub,
+  '> **Nav:** [[' || p || '|Hub]] · [[' || p || ' — EOB Notes|EOB Notes]] · [[' || p || ' — NET Notes|NET Notes]]' || f AS text, '> **Nav:** [[' || p || '|Hub]] · [[' || p || ' — NET|NET text]]' || f AS net_notes FROM n""",
     "hub_render": rf"""WITH {_NOW}, l AS (SELECT source, book, chapter, verse, verse_id, '###### v' || verse || chr(10) || '<span class="vn">' || verse || '</span> ' || trim(regexp_replace(text, '[ \n\t]+', ' ', 'g')) || ' ^v' || verse AS line FROM now WHERE text <> ''),
 b AS (SELECT source, book, chapter, string_agg(line, chr(10) || chr(10) ORDER BY verse, verse_id) AS body FROM l GROUP BY 1, 2, 3),
 p AS (SELECT source, book, number AS chapter, min(pericope) AS pericope FROM chapters WHERE pericope IS NOT NULL GROUP BY 1, 2, 3),
