@@ -54,6 +54,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table to the shared folder and read from there: its lineage is cut, and what reads it reads only the columns it needs."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """Marks ``df`` for broadcast if it has at most ``most_rows`` rows, which one bounded count decides; else returns it as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
