@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import table
+from ..functions.session import stored, table
 from .lookalikes import CYRILLIC, GREEK, HYPHENS, INVISIBLE, SPACES, fullwidth
 
 # Latin ligatures and their letters.
@@ -155,7 +155,7 @@ def _several(rows: DataFrame) -> DataFrame:
 
 def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """(a, b): keys, the smaller first, whose texts differ as stored and have one form."""
-    rows = _several(digests(df, key, text))
+    rows = stored(_several(stored(digests(df, key, text), "digests")), "lookalikes")
     classes = rows.select(*FORM, "raw").distinct()
     pairs = classes.withColumnRenamed("raw", "ra").join(classes.withColumnRenamed("raw", "rb"), FORM).filter("ra < rb")
     left = pairs.join(rows.select(*FORM, F.col("raw").alias("ra"), F.col("k").alias("ka")), [*FORM, "ra"])
@@ -190,7 +190,7 @@ def forms_query(spark: SparkSession, d: str) -> DataFrame:
 
 def classes_query(spark: SparkSession, d: str) -> DataFrame:
     """For each verse with look-alikes its class (the smallest verse_id) and the number of its stored forms."""
-    rows = _several(digests(_verses(spark, d), "verse_id", "text"))
+    rows = _several(stored(digests(_verses(spark, d), "verse_id", "text"), "digests"))
     sizes = rows.groupBy(*FORM).agg(F.min("k").alias("class_id"), F.countDistinct("raw").alias("n_forms"))
     return rows.select("k", *FORM).distinct().join(sizes, FORM).select(F.col("k").alias("verse_id"), "class_id", "n_forms")
 

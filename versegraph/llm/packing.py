@@ -25,13 +25,13 @@ import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.session import checkpointed, table
 
@@ -41,8 +41,9 @@ TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+@lru_cache(2)
 def token_counter(path: str):
-    """A function from texts to numbers of tokens."""
+    """A function from texts to numbers of tokens, made once for each Python worker."""
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
@@ -154,11 +155,8 @@ def ranked(items: DataFrame) -> DataFrame:
     return local.join(offsets, ["profile", "size", "part"]).select("profile", "key", "piece", "start_token", "size", (F.col("start") + F.col("at")).alias("rank"))
 
 
-GROUPS = T.StructType([T.StructField("profile", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("first", "count", "capacity", "fill"))])
-
-
 def packed(sizes: DataFrame, profiles: dict[str, list[int]]) -> tuple[DataFrame, DataFrame]:
-    """Assignment (profile, container, key, piece, start_token, size) and fills (profile, container, capacity, fill).
+    """Assignment (profile, container, key, piece, start_token, size, capacity) and fills (profile, container, capacity, n_items, fill).
 
     sizes: (key, tokens). profiles: name -> permitted capacities; each profile packs all texts by itself.
     """
@@ -177,25 +175,28 @@ def packed(sizes: DataFrame, profiles: dict[str, list[int]]) -> tuple[DataFrame,
     for p, capacities in profiles.items():
         planned, containers = plan(histogram[p], capacities)
         rows += [(p, *r) for r in planned]
-        groups += [(p, g.first, g.count, g.capacity, g.capacity - g.free) for g in containers]
+        groups += [(p, g.first, g.capacity) for g in containers]
     # the plan grows with the sizes that occur, not with the texts; looked up by binary search
+    tops = {p: np.array(sorted(g[1:] for g in groups if g[0] == p), np.int64).reshape(-1, 2).T for p in profiles}
     steps = {p: np.array(sorted(r[1:] for r in rows if r[0] == p), np.int64).reshape(-1, 5) for p in profiles}
-    sent = spark.sparkContext.broadcast(steps)
+    sent = spark.sparkContext.broadcast((steps, tops))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
             names = np.asarray(batch.column(0).to_pylist(), dtype=object)
-            container = np.zeros(len(size), np.int64)
+            container, capacity = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
             for p in set(names):
-                at, table = names == p, sent.value[p]
+                at, table, (firsts, capacities) = names == p, sent.value[0][p], sent.value[1][p]
                 row = table[np.searchsorted((table[:, 0] << 40) + table[:, 1], (size[at] << 40) + rank[at], side="right") - 1]
                 container[at] = row[:, 3] + (rank[at] - row[:, 1]) // row[:, 4]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(container), *batch.columns[1:5]], ["profile", "container", "key", "piece", "start_token", "size"])
+                capacity[at] = capacities[np.searchsorted(firsts, container[at], side="right") - 1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(container), *batch.columns[1:5], pa.array(capacity)], ["profile", "container", "key", "piece", "start_token", "size", "capacity"])
 
     columns = ranked(items).select("profile", "key", "piece", F.col("start_token").cast("long"), F.col("size").cast("long"), F.col("rank").cast("long"))
-    assigned = columns.mapInArrow(place, "profile string, container long, key long, piece int, start_token long, size long")
-    fills = spark.createDataFrame(groups, GROUPS).select("profile", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("container"), "capacity", "fill")
+    assigned = columns.mapInArrow(place, "profile string, container long, key long, piece int, start_token long, size long, capacity long")
+    # what is in each container, added up from where the items went
+    fills = assigned.groupBy("profile", "container").agg(F.max("capacity").alias("capacity"), F.count("*").alias("n_items"), F.sum("size").alias("fill"))
     return assigned, fills
 
 
@@ -228,9 +229,8 @@ def fills_query(spark: SparkSession, d: str, vocabulary: str = f"{TOKENIZERS}/{V
     """Capacity and fill of every container, summed up from the assignment."""
     if not _profiles(spark, d):
         return spark.createDataFrame([], "profile string, container_id long, capacity long, n_items long, n_tokens long, unused long")
-    assigned, fills = _packed(spark, d, vocabulary)
-    sums = assigned.groupBy("profile", "container").agg(F.count("*").alias("n_items"), F.sum("size").alias("n_tokens"))
-    return sums.join(fills, ["profile", "container"]).select("profile", F.col("container").alias("container_id"), "capacity", "n_items", "n_tokens", (F.col("capacity") - F.col("n_tokens")).alias("unused"))
+    _, fills = _packed(spark, d, vocabulary)
+    return fills.select("profile", F.col("container").alias("container_id"), "capacity", "n_items", F.col("fill").alias("n_tokens"), (F.col("capacity") - F.col("fill")).alias("unused"))
 
 
 def waste_query(spark: SparkSession, d: str, vocabulary: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
