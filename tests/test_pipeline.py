@@ -125,6 +125,8 @@ def test_streams(spark, tmp_path):
     assert once.count() == batch.count()
     numbered = stream().select(F.col("event_type").alias("k"), F.col("event_id").alias("o"), (F.col("event_id") % 7).cast("int").alias("n"))
     moved = i.collected(i.cursors(numbered, "k", "o", "n"), "moved", str(tmp_path / "c3"))
+    timed = stream().withWatermark("ts", "1 day").select("ts", F.col("event_type").alias("k"), F.col("event_id").alias("o"), (F.col("event_id") % 7).cast("int").alias("n"))
+    assert i.collected(i.cursors(timed, "k", "o", "n", time="ts"), "timed", str(tmp_path / "c5")).count() == 2 * batch.count()
     rows = moved.filter("accepted").groupBy("key").agg(F.count("*").alias("a"), F.max("number").alias("m")).collect()
     assert rows and all(r.a <= 6 and r.m == 6 for r in rows)
     seen = []

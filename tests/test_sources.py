@@ -3,6 +3,7 @@
 import io
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from versegraph.operators import extraction as x
@@ -65,6 +66,9 @@ def test_epub(spark, tmp_path):
     (tmp_path / "b.epub").write_bytes(buffer.getvalue())
     rows = epub.epub_documents(spark, str(tmp_path), "S").orderBy("spine_idx").collect()
     assert [(r.path, r.spine_idx) for r in rows] == [("OEBPS/file1.xhtml", 0), ("OEBPS/file2.xhtml", 1)]
+    (tmp_path / "broken.epub").write_bytes(b"no archive")
+    assert epub.epub_documents(spark, str(tmp_path), "S").count() == 2 and epub.epub_errors(spark, str(tmp_path), "S").first().error.startswith("BadZipFile")
+    (tmp_path / "broken.epub").unlink()
     titles = spark.createDataFrame([("John", "John")], "title string, book string")
     counts = spark.createDataFrame([("John", 2)], "book string, chapter_count int")
     files = epub.numbered_files(epub.epub_contents(spark, str(tmp_path)), titles, counts).orderBy("chapter").collect()
@@ -140,6 +144,10 @@ def test_catena(spark, tmp_path):
 
 def test_sink_and_tree(spark, tmp_path):
     df = spark.createDataFrame([("a b/One 1.md", "---\nhub: x\n---\ntext"), ("Two 2.md", "é")], "rel_path string, content string")
-    sink.write_files(df, str(tmp_path / "out"))
+    assert sink.write_files(df, str(tmp_path / "out")) == 2
+    assert not list((tmp_path / "out" / "_staged").iterdir())
+    bad = spark.createDataFrame([("../x.md", "")], "rel_path string, content string")
+    with pytest.raises(Exception, match="leaves the output folder"):
+        sink.write_files(bad, str(tmp_path / "out"))
     tree = {r.path: r.text for r in tabular.markdown_tree(spark, str(tmp_path / "out")).collect()}
     assert tree == {"a b/One 1.md": "---\nhub: x\n---\ntext", "Two 2.md": "é"}

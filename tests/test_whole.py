@@ -20,7 +20,7 @@ def test_books_linked_in_every_document(spark, tmp_path):
     texts = ["see 1 Theb 3:4\nand Ostr 2", "ostr Ostr, HySar", "", None]
     want = ["see [[I Theb]] 3:4\nand [[Ostravane]] 2", "ostr Ostr, [[Hymns of Sarem]]", ""]
     canon_and(spark, tmp_path, texts)
-    got = sorted(tuple(r) for r in text.linkify_books_all(spark, str(tmp_path)).select("doc_id", "n_links", "digest").collect())
+    got = sorted(tuple(r) for r in text.linkify_books(spark, str(tmp_path)).select("doc_id", "n_links", "digest").collect())
     assert got == [(k, w.count("[["), md5(w.encode()).hexdigest()) for k, w in enumerate(want)]
 
 

@@ -47,20 +47,26 @@ def out_of_order(df: DataFrame, scope: Sequence[str], order: Sequence, number: s
     return df.withColumn("previous", F.lag(number).over(_window(scope, order))).filter(F.col(number) < F.col("previous"))
 
 
-def repeats(df: DataFrame, scope: Sequence[str], order: Sequence) -> DataFrame:
-    """Every row of a scope after its first."""
-    return df.withColumn("__n", F.row_number().over(_window(scope, order))).filter("__n > 1").drop("__n")
-
-
-def first_of(df: DataFrame, scope: Sequence[str], order: Sequence) -> DataFrame:
-    """The first row of each scope."""
-    return df.withColumn("__n", F.row_number().over(_window(scope, order))).filter("__n = 1").drop("__n")
-
-
-def neighbours(df: DataFrame, scope: Sequence[str], number: str) -> DataFrame:
-    """``previous`` and ``following``: the numbers next to each row's in its scope."""
-    w = _window(scope, [number])
-    return df.withColumns({"previous": F.lag(number).over(w), "following": F.lead(number).over(w)})
+def repeats(df: DataFrame, scope: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Every row of a scope after its first. The first is found with partial minima, so a scope may hold a third of all rows; rows that tie with it are firsts, too."""
+    first = df.groupBy(*scope).agg(F.min(F.struct(*order)).alias("__first")).select(*(F.col(c).alias(f"__{c}") for c in scope), "__first")
+    same = F.lit(True)
+    for c in scope:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(first, same).filter(F.struct(*order) > F.col("__first")).drop("__first", *(f"__{c}" for c in scope))
+
+
+def first_of(df: DataFrame, scope: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each scope, with partial minima; of equal rows one."""
+    rest = [c for c in df.columns if c not in scope]
+    first = df.groupBy(*scope).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    return first.select(*scope, *(F.col(f"__first.`{c}`").alias(c) for c in rest)).select(*df.columns)
+
+
+def neighbours(df: DataFrame, number: str, last: str) -> DataFrame:
+    """``previous`` and ``following``: the numbers before and after each row's, from 1 to ``last``, whether they are there or not; null outside."""
+    n = F.col(number)
+    return df.withColumns({"previous": F.when(n.between(2, F.col(last) + 1), n - 1), "following": F.when(n.between(0, F.col(last) - 1), n + 1)})
 
 
 def ordered_text(df: DataFrame, scope: Sequence[str], order: Sequence[str], text: str, separator: str | Column, out: str) -> DataFrame:

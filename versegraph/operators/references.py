@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Prefix of the targets' columns inside the join, so that names of both tables can clash.
@@ -60,10 +60,10 @@ def orphans(
     for kept in masks(own, semantics, nullable):
         null = [k for k in own if k not in kept]
         part = references.filter(_all([F.col(k).isNotNull() for k in kept] + [F.col(k).isNull() for k in null]))
-        # a mask with fewer columns meets many targets a key: keep one interval for each key and start
+        # a mask with fewer columns meets many targets a key, whose intervals mostly overlap: keep their union
         have = right.select(*(T + k for k in kept), *((T + "since", T + "until") if at else ()))
         if null or not at:
-            have = have.groupBy(*(T + k for k in kept), *([T + "since"] if at else [])).agg(*([_latest()] if at else [F.lit(1).alias(T + "one")]))
+            have = _merged(have, [T + k for k in kept]) if at else have.distinct()
         on = [F.col(k) == F.col(T + k) for k in kept]
         if at:
             on += [F.col(at) >= F.col(T + "since"), F.col(T + "until").isNull() | (F.col(at) < F.col(T + "until"))]
@@ -76,9 +76,24 @@ def orphans(
     return found
 
 
-def _latest() -> Column:
-    """Of intervals with one start, the end of the longest; null (for good) outlasts all."""
-    return F.when(F.bool_or(F.col(T + "until").isNull()), None).otherwise(F.max(T + "until")).alias(T + "until")
+#: Parts in which the intervals of a key are merged first, so that a key that a third of all rows have is no task's own.
+PARTS = 64
+
+
+def _merged(intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """The union of each key's intervals as disjoint ones: merged within parts of the key by the hash of their start, and what is left of those together."""
+    part = F.pmod(F.xxhash64(T + "since"), F.lit(PARTS)).alias(T + "part")
+    return _islands(_islands(intervals.select("*", part), [*keys, T + "part"]).drop(T + "part"), keys)
+
+
+def _islands(intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """Intervals of each key that overlap or touch as one; an end that is null outlasts all."""
+    since, until = F.col(T + "since"), F.col(T + "until")
+    order = Window.partitionBy(*keys).orderBy(T + "since")
+    before = F.max(F.struct(until.isNull().alias("open"), until.alias("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(before.isNull() | (~before["open"] & (since > before["end"])), 1).otherwise(0)
+    rows = intervals.filter(since.isNotNull()).withColumn(T + "begins", begins).withColumn(T + "island", F.sum(T + "begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.groupBy(*keys, T + "island").agg(F.min(T + "since").alias(T + "since"), F.when(F.bool_or(until.isNull()), None).otherwise(F.max(T + "until")).alias(T + "until")).drop(T + "island")
 
 
 def _all(conditions: Sequence[Column]) -> Column:

@@ -6,10 +6,14 @@ layout give no findings. Null texts count as empty. Repeated files are reported
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..functions.session import small
+from .relational import FEW
 
 # Fields that front matter needs, and testaments.
 HUB_FIELDS = ["testament", "genre", "book_id", "aliases", "up", "prev", "next"]
@@ -35,25 +39,25 @@ def lines_of(files: DataFrame) -> DataFrame:
     return rows.withColumn("following", F.lead("content").over(Window.partitionBy("path").orderBy("line")))
 
 
-def rule(condition: Column, severity: str, code: str, message: Column | str, line: Column | None = None, expected: Column | None = None, actual: Column | None = None) -> Column:
-    """The finding of a row where ``condition`` holds, else null."""
+def rule(condition: Column, severity: str, code: str, message: Column | str, line: Column | None = None, expected: Column | None = None, actual: Column | None = None) -> tuple[str, Column]:
+    """A rule's code and the finding of a row where ``condition`` holds, else null."""
     text = lambda c: F.lit(None).cast("string") if c is None else c.cast("string")
     values = (F.lit(severity), F.lit(code), (F.lit(None) if line is None else line).cast("int"), F.lit(message) if isinstance(message, str) else message, text(expected), text(actual), F.lit(None).cast("string"))
     names = [n for n in FINDING if n != "path"]
-    return F.when(F.coalesce(condition, F.lit(False)), F.struct(*(v.alias(n) for v, n in zip(values, names))))
+    return code, F.when(F.coalesce(condition, F.lit(False)), F.struct(*(v.alias(n) for v, n in zip(values, names))))
 
 
-def report(df: DataFrame, rules: list[Column]) -> DataFrame:
+def report(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     """Findings of several rules over one reading of ``df``."""
-    found = df.select("path", F.explode(F.array_compact(F.array(*rules))).alias("f"))
+    found = df.select("path", F.explode(F.array_compact(F.array(*(r for _, r in rules)))).alias("f"))
     return found.select("f.severity", "f.code", "path", *(f"f.{n}" for n in FINDING[3:]))
 
 
-def hub_findings(files: DataFrame, canon: DataFrame) -> DataFrame:
-    """Rules HUB001-HUB012: one pass over the files, one over their lines. canon: book, testament, book_order, chapter_count (small)."""
+def hub_findings(files: DataFrame, canon: DataFrame, codes: Collection[str] | None = None) -> DataFrame:
+    """Rules HUB001-HUB012: one pass over the files, one over their lines. canon: book, testament, book_order, chapter_count (small). codes: the rules wanted (all); a pass without any isn't made."""
     hubs = parsed(files).filter("kind = 'hub'")
     fm = lambda k: F.try_element_at("fm", F.lit(k))
-    known = hubs.join(F.broadcast(canon.select("book", F.col("testament").alias("c_testament"), F.col("book_order").alias("c_order"), F.col("chapter_count").alias("c_chapters"))), "book", "left")
+    known = hubs.join(small(canon.select("book", F.col("testament").alias("c_testament"), F.col("book_order").alias("c_order"), F.col("chapter_count").alias("c_chapters")), FEW), "book", "left")
     lacking = F.array_join(F.filter(F.array(*map(F.lit, HUB_FIELDS)), lambda k: ~F.map_contains_key("fm", k)), ", ")
     folder = F.when(fm("testament") == "NT", "02 - New Testament").otherwise("01 - Old Testament")
     by_file = [
@@ -84,7 +88,8 @@ def hub_findings(files: DataFrame, canon: DataFrame) -> DataFrame:
         rule(is_anchor & ~empty & ~shaped, "ERROR", "HUB011", "the body has not the verse's form", F.col("line") + 1, actual=F.substring(body, 1, 80)),
         rule(is_anchor & shaped & (ids != v), "ERROR", "HUB012", "block id and anchor differ", F.col("line") + 1, v, ids),
     ]
-    return report(known, by_file).unionByName(report(lines, by_line))
+    wanted = [(df, [r for r in rules if codes is None or r[0] in codes]) for df, rules in ((known, by_file), (lines, by_line))]
+    return _all([report(df, rules) for df, rules in wanted if rules])
 
 
 def companion_findings(files: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import table
+from ..functions.session import small, table
 from ..operators import ordered as o
+from ..operators.relational import FEW
 
 CHAPTER = ["source", "book", "chapter"]
 
@@ -72,9 +73,9 @@ def dedup_first(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chapter_links(spark: SparkSession, d: str) -> DataFrame:
-    """Previous and next chapter of every chapter of an edition."""
+    """Chapters before and after each chapter of a canonical book, by the canon's count: a gap in an edition still links."""
     c = table(spark, d, "chapters").filter("book is not null").select("source", "book", "number").distinct()
-    return o.neighbours(c, ["source", "book"], "number").select("source", "book", "number", "previous", "following")
+    return o.neighbours(c.join(small(table(spark, d, "canon_books").select("book", "chapter_count"), FEW), "book"), "number", "chapter_count").select("source", "book", "number", "previous", "following")
 
 
 def ordered_concat(spark: SparkSession, d: str) -> DataFrame:
@@ -138,7 +139,7 @@ g AS (SELECT *, CAST(coalesce(lag(verse) OVER (PARTITION BY source, book, chapte
     "order_check": f"WITH {_BOXES}, m AS (SELECT *, {_NUM} AS number FROM boxes WHERE y_top > 60), l AS (SELECT box_id, number, lag(number) OVER (PARTITION BY source, page ORDER BY box_id) AS previous FROM m WHERE number IS NOT NULL) SELECT * FROM l WHERE number < previous",
     "repeated_headings": f"WITH {_BOXES} SELECT source, text, page, box_id FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY page, box_id) AS n FROM boxes WHERE y_top > 570 AND text IS NOT NULL) WHERE n > 1",
     "dedup_first": "SELECT finding_id FROM (SELECT *, row_number() OVER (PARTITION BY path, line, code ORDER BY found_at, finding_id) AS n FROM (SELECT DISTINCT finding_id, path, line, code, found_at FROM findings)) WHERE n = 1",
-    "chapter_links": "SELECT source, book, number, lag(number) OVER w AS previous, lead(number) OVER w AS following FROM (SELECT DISTINCT source, book, number FROM chapters WHERE book IS NOT NULL) WINDOW w AS (PARTITION BY source, book ORDER BY number)",
+    "chapter_links": """SELECT DISTINCT source, c.book, number, CASE WHEN number BETWEEN 2 AND chapter_count + 1 THEN number - 1 END AS previous, CASE WHEN number BETWEEN 0 AND chapter_count - 1 THEN number + 1 END AS following FROM chapters c JOIN canon_books b ON b.book = c.book""",
     "ordered_concat": f"WITH {_NOW} SELECT source, book, chapter, string_agg(text, ' ' ORDER BY verse, verse_id) AS chapter_text FROM now WHERE text <> '' GROUP BY 1, 2, 3",
     "dropcap_concat": f"""WITH {_BOXES}, s AS (SELECT *, lag(text) OVER (PARTITION BY source, page ORDER BY box_id) AS b FROM boxes WHERE text IS NOT NULL AND y_top > 60 AND y_top < 570),
 j AS (SELECT source, page, box_id, CASE WHEN row_number() OVER (PARTITION BY source, page ORDER BY box_id) = 1 OR coalesce(regexp_matches(b, '^[0-9]{{1,3}}$'), false) THEN '' ELSE ' ' END || text AS t FROM s)

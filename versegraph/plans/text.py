@@ -61,18 +61,6 @@ def linkify(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.length(out).cast("long").alias("n_chars"), F.md5(F.encode(out, "utf-8")).alias("digest"))
 
 
-def linkify_books(spark: SparkSession, d: str) -> DataFrame:
-    """Citations of documents of the type note, where one word is the abbreviation (all: ``linkify_books_all``), linked to the book that their abbreviation names: split, looked up, put together again."""
-    docs = table(spark, d, "documents").filter("doc_type = 'note'").select("doc_id", "text")
-    parts = F.split("text", r"(?<=\s)|(?=\s)")
-    canon = F.broadcast(table(spark, d, "canon_books").select(F.col("abbreviation").alias("alias"), F.col("book").alias("name")))
-    pieces = docs.select("doc_id", F.posexplode(parts).alias("pos", "piece")).join(canon, F.col("piece") == F.col("alias"), "left")
-    linked = pieces.withColumn("piece", F.when(F.col("name").isNotNull(), F.concat(F.lit("[["), F.col("name"), F.lit("]]"))).otherwise(F.col("piece")))
-    # the pieces of one document meet again; a document is one value of its table already
-    joined = linked.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"), F.count_if(F.col("name").isNotNull()).alias("n_links"))
-    return joined.select("doc_id", "n_links", F.md5(F.encode(F.array_join(F.transform("p", lambda x: x["piece"]), ""), "utf-8")).alias("digest"))
-
-
 def _aliases(spark: SparkSession, d: str, columns: tuple[str, ...]) -> tuple[str, Column, Column]:
     """A pattern of the canon's names in ``columns``, longest first, and maps from them as written, and in lower case, to the book. The canon is fixed, 56 rows."""
     rows = table(spark, d, "canon_books").select("book", *(F.col(c).alias(f"n{i}") for i, c in enumerate(columns))).filter("book is not null").distinct().orderBy("book").collect()
@@ -97,7 +85,7 @@ def _replaced(c: Column, pattern: str, link: Callable[[Column], Column]) -> Colu
     return F.array_join(F.zip_with(F.split(c, pattern), found, lambda between, m: F.concat(between, F.coalesce(m, F.lit("")))), "")
 
 
-def linkify_books_all(spark: SparkSession, d: str) -> DataFrame:
+def linkify_books(spark: SparkSession, d: str) -> DataFrame:
     """Abbreviations between spaces, of one or several words, linked to the book that they name, in every document."""
     names, book, _ = _aliases(spark, d, ("abbreviation",))
     pattern = rf"(?<!\S){names}(?!\S)"
@@ -207,7 +195,7 @@ def ocr_repair(spark: SparkSession, d: str) -> DataFrame:
     return boxes(spark, d).filter("text is not null").select("box_id", t.tight_marks(t.collapsed(c, r"[ \n\t]+")).alias("repaired"))
 
 
-queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, linkify_books_all, linkify_aliases, citation_ranges, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
+queries = {f.__name__: f for f in (scan_lines, noise_line_filter, title_case_filter, citations, citation_books, linkify, linkify_books, linkify_aliases, citation_ranges, segment_labels, whitespace_dialects, blockquote, letter_spaced, roman_pages, key_split, json_props, hidden_range_links, ocr_repair)}
 
 _CITE = f"""m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{CITATION}')) AS m FROM documents),
 c AS (SELECT doc_id, regexp_extract(m, '{CITATION}', 1) AS alias, CAST(regexp_extract(m, '{CITATION}', 2) AS INTEGER) AS chapter, CAST(regexp_extract(m, '{CITATION}', 3) AS INTEGER) AS verse FROM m)"""
@@ -216,7 +204,29 @@ c AS (SELECT doc_id, regexp_extract(m, '{CITATION}', 1) AS alias, CAST(regexp_ex
 _OPEN = rf"(^|[^\p{{L}}\p{{N}}_\[|#]){CITATION}($|[^\p{{L}}\p{{N}}_\]|])".replace(":(", ":\x01?(")
 _LINK = r"\1[[\2 \3#v\4|\2 \3:\4]]\5"
 
+# the names of the canon one after another, the longest first, each replaced twice, since two citations may share the space between them; only names that a text holds are tried
+_NAMED = r"""WITH b AS (SELECT book, abbreviation, alt_title, CASE WHEN book = 'Psalms' THEN 'Psalm' ELSE book END AS f FROM canon_books),
+n AS (SELECT DISTINCT alias, replace(alias, ' ', '[\s\x0b\x{85}\p{Z}]+') AS p, f, book FROM (SELECT unnest(ALIASES) AS alias, f, book FROM b) WHERE alias IS NOT NULL),
+l AS (SELECT list({'s': '', 'a': lower(alias), 'p': p, 'f': f, 'b': book} ORDER BY length(alias) DESC, alias) AS al FROM n),
+d AS (SELECT doc_id, text, list_filter(al, lambda x: contains(lower(regexp_replace(text, '[\s\x0b\x{85}\p{Z}]+', ' ', 'g')), x.a)) AS al FROM documents, l WHERE text IS NOT NULL),
+r AS (SELECT doc_id, text, list_reduce(list_prepend({'s': text, 'a': '', 'p': '', 'f': '', 'b': ''}, al), lambda t, x: {'s': REPLACED, 'a': '', 'p': '', 'f': '', 'b': ''}).s AS out FROM d) """
+
+
+def _one_by_one(aliases: str, passes: list[tuple[str, str]]) -> str:
+    out = "t.s"
+    for pattern, target in passes:
+        for _ in range(2):
+            out = f"regexp_replace({out}, {pattern}, {target}, 'g')"
+    return _NAMED.replace("ALIASES", aliases).replace("REPLACED", out)
+
+
+_BEFORE, _AFTER, _GAP = r"(^|[^\p{L}\p{N}_\[|#])", r"($|[^\p{L}\p{N}_\]|:]|:$|:[^0-9])", r"[\s\x0b\x{85}\p{Z}]"
+_VERSE = rf"'(?i){_BEFORE}(' || x.p || '{_GAP}+0{{0,2}}(\d{{1,3}}):0{{0,2}}(\d{{1,3}})(?:{_GAP}*[-–—]{_GAP}*\d{{1,3}})?){_AFTER}'"
+_WHOLE = rf"'{_BEFORE}(' || x.p || '{_GAP}+0{{0,2}}(\d{{1,3}})){_AFTER}'"
+
 oracles = {
+    "linkify_books": _one_by_one("[abbreviation]", [(r"'(^|[\s\x0b])(' || x.p || ')($|[\s\x0b])'", r"'\1[[' || x.b || ']]\3'")]) + "SELECT doc_id, len(regexp_extract_all(out, '\\[\\[')) - len(regexp_extract_all(text, '\\[\\[')) AS n_links, md5(out) AS digest FROM r",
+    "linkify_aliases": _one_by_one("[book, abbreviation, alt_title]", [(_VERSE, r"'\1[[' || x.f || ' \3#v\4|\2]]\5'"), (_WHOLE, r"'\1[[' || x.f || ' \3|\2]]\4'")]) + "SELECT doc_id, length(out) AS n_chars, md5(out) AS digest FROM r",
     "scan_lines": r"WITH l AS (SELECT doc_id, string_split(replace(replace(translate(text, chr(160) || '„', ' “'), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS ls FROM documents) SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line_no, unnest(ls) AS line FROM l",
     "noise_line_filter": rf"""WITH {_BOXES}, l AS (SELECT box_id, unnest(string_split(text, chr(10))) AS line FROM boxes), n AS (SELECT *, length(regexp_replace(line, '[^\p{{L}}]', '', 'g')) AS k FROM l WHERE trim(line) <> '')
 SELECT box_id, line FROM n WHERE k < 0.5 * length(line) OR (len(regexp_split_to_array(trim(line), ' +')) <= 3 AND k < 5)""",
@@ -226,8 +236,6 @@ SELECT box_id, line FROM n WHERE k < 0.5 * length(line) OR (len(regexp_split_to_
     "linkify": rf"""WITH s AS (SELECT doc_id, regexp_replace(text, '([^\p{{L}}\p{{N}}_ ])', '\1' || chr(1), 'g') AS text FROM documents),
 l AS (SELECT doc_id, replace(regexp_replace(regexp_replace(text, '{_OPEN}', '{_LINK}', 'g'), '{_OPEN}', '{_LINK}', 'g'), chr(1), '') AS t FROM s) SELECT doc_id, length(t) AS n_chars, md5(t) AS digest FROM l""",
     "letter_spaced": rf"WITH {_BOXES} SELECT box_id, regexp_replace(regexp_replace(text, '([A-Z]) ([A-Z])', '\1\2', 'g'), '([A-Z]) ([A-Z])', '\1\2', 'g') AS heading FROM boxes WHERE y_top > 570 AND text IS NOT NULL",
-    "linkify_books": r"""WITH p AS (SELECT doc_id, regexp_extract_all(text, '[\s\x0b]|[^\s\x0b]+') AS ps FROM documents WHERE doc_type = 'note'), q AS (SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pos FROM p)
-SELECT doc_id, count(b.book) AS n_links, md5(string_agg(coalesce('[[' || b.book || ']]', piece), '' ORDER BY pos)) AS digest FROM q LEFT JOIN canon_books b ON piece = b.abbreviation GROUP BY 1""",
     "segment_labels": r"""WITH s AS (SELECT doc_id, regexp_extract_all(text, '\*\*(\d+:\d+)\*\*', 1) AS ls, regexp_split_to_array(text, '\*\*\d+:\d+\*\*') AS bs FROM documents WHERE regexp_matches(text, '^\*\*\d+:\d+\*\*')),
 u AS (SELECT doc_id, unnest(range(0, len(ls))) AS at0, unnest(ls) AS l, unnest(bs[2:]) AS b FROM s)
 SELECT doc_id, at0 AS "at", CAST(split_part(l, ':', 1) AS INTEGER) AS chapter, CAST(split_part(l, ':', 2) AS INTEGER) AS verse, length(trim(b)) AS n_chars FROM u""",

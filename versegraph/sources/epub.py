@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -41,19 +42,36 @@ def spine(z: zipfile.ZipFile) -> list[str]:
     return [p for p in paths if p in have]
 
 
-def epub_documents(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """(source, container, path, spine_idx, html) of every document in the archives at ``path``."""
+def _opened(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Documents of every archive; of an archive that can't be read one row with the error in place of the text and no path."""
+
+    def documents(name: str, content: bytes) -> Iterator[tuple]:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for i, p in enumerate(spine(z)):
+                yield source, name, p, i, z.read(p).decode("utf-8", "replace")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for name, content in zip(pdf.path, pdf.content):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for i, p in enumerate(spine(z)):
-                        yield pd.DataFrame([(source, name, p, i, z.read(p).decode("utf-8", "replace"))], columns=["source", "container", "path", "spine_idx", "html"])
+                try:
+                    rows = list(documents(name, content))
+                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, StopIteration, OSError, EOFError, zlib.error, NotImplementedError) as e:
+                    rows = [(source, name, None, -1, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=["source", "container", "path", "spine_idx", "html"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, DOCS)
 
 
+def epub_documents(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """(source, container, path, spine_idx, html) of every document in the archives at ``path``; those that can't be read are in ``epub_errors``."""
+    return _opened(spark, path, source).filter("path is not null")
+
+
+def epub_errors(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """(container, error) of the archives that can't be read; they don't end the job."""
+    return _opened(spark, path, source).filter("path is null").select("container", F.col("html").alias("error"))
+
+
 def epub_contents(spark: SparkSession, path: str) -> DataFrame:
     """(container, position, label, href): entries of the table of contents (NCX)."""
 

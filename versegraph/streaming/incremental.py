@@ -1,6 +1,6 @@
 """Streaming forms: windowed counts with late data, first-delivery dedup, per-key cursors, and re-rendering of changed chapters.
 
-State is bounded by watermarks; sinks are idempotent by batch. The checkpoint folder is the caller's, shared by the cluster.
+State is bounded by watermarks and timeouts; sinks are idempotent by batch. The checkpoint folder is the caller's, shared by the cluster.
 """
 
 from __future__ import annotations
@@ -33,22 +33,32 @@ def first_deliveries(events: DataFrame, keys: list[str], time: str, late: str =
 CURSOR = "key string, order_id long, number int, accepted boolean"
 
 
-def cursors(rows: DataFrame, key: str, order: str, number: str, step: int = 25) -> DataFrame:
-    """Forward-only cursor of each key across batches: a number is accepted if it is above the last accepted one by at most ``step``."""
+def cursors(rows: DataFrame, key: str, order: str, number: str, step: int = 25, time: str | None = None, idle: str = "7 days") -> DataFrame:
+    """Forward-only cursor of each key across batches: a number is accepted if it is above the last accepted one by at most ``step``.
+
+    The rows of a key in a batch are ordered as a whole; they are what a key's chapter gets at once. time: a column with a watermark; the state of a key whose last
+    row is ``idle`` before the watermark is dropped. Without it the state of every key is kept.
+    """
+    rest = int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def advance(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else 0
-        for pdf in frames:
-            pdf = pdf.sort_values(order)
-            accepted = []
-            for n in pdf[number]:
-                ok = n is not None and n == n and last < n <= last + step
-                last = int(n) if ok else last
-                accepted.append(ok)
-            yield pd.DataFrame({"key": k[0], "order_id": pdf[order], "number": pdf[number], "accepted": accepted})
+        pdf = pd.concat(list(frames)).sort_values(order)
+        accepted = []
+        for n in pdf[number]:
+            ok = n is not None and n == n and last < n <= last + step
+            last = int(n) if ok else last
+            accepted.append(ok)
         state.update((last,))
+        if time:
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(pdf[time].max().timestamp() * 1000)) + rest)
+        yield pd.DataFrame({"key": k[0], "order_id": pdf[order], "number": pdf[number], "accepted": accepted})
 
-    return rows.groupBy(key).applyInPandasWithState(advance, CURSOR, "last int", "append", GroupStateTimeout.NoTimeout)
+    how = GroupStateTimeout.EventTimeTimeout if time else GroupStateTimeout.NoTimeout
+    return rows.groupBy(key).applyInPandasWithState(advance, CURSOR, "last int", "append", how)
 
 
 def rerendered(changes: DataFrame, keys: list[str], render: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str):
