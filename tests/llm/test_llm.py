@@ -49,10 +49,8 @@ def test_spans_match_brute_force(spark, passages, monkeypatch):
     df = spark.createDataFrame(table, "verse_id long, text string, cut string, h long")
     want = brute_spans(passages, 80)
     assert rows(spans.shared_spans(df, "verse_id", "text")) == want and len(want) > 20
-    # the ways for hot cuts, and for more cuts than the filter takes
-    monkeypatch.setattr(spans, "HOT", 3)
-    assert rows(spans.shared_spans(df, "verse_id", "text")) == want
-    monkeypatch.setattr(spans, "MOST_FILTERED", 0)
+    # filters that let everything pass change nothing
+    monkeypatch.setattr(spans, "_passing", lambda df, column, values: df)
     assert rows(spans.shared_spans(df, "verse_id", "text")) == want
     assert rows(spans.shared_spans(df.limit(0), "verse_id", "text")) == []
 

@@ -6,20 +6,19 @@ passage therefore holds a cut that depends on nothing outside it, whatever was i
 a passage share the cut. Chunks run from the gear window of one cut to that of the next, so neighbouring chunks overlap by the
 window that cut them.
 
-1. Each record sends the digests of its cuts (about one for every 25 characters) with its key; a digest with two different
-   keys is shared. Keys are aggregated to their minimum and maximum before the shuffle, so a passage that a third of all
-   records contain is a few rows a task, and copies of one record count once.
-2. Only passages around shared cuts return: a filter of fixed size (a check of their number comes first; beyond it the shared
-   cuts join the records instead) tells them at the second reading. The digest of each such passage of ``least`` characters,
-   together with its cut's, is matched: passages of one cut meet in one task, but for hot cuts (of HOT records or more, told by
-   a second filter), whose passages are combined to minima and maxima before the shuffle like the cuts. Passages stand for whole chunks here, since two
-   records may share less than a chunk from cut to cut and yet more than ``least`` characters around one cut.
-3. Shared passages that touch or overlap become one maximal run.
-
-Method note: deduplicating only whole chunks (from cut to cut) finds no passage that lies around a single cut, and
-cuts so dense that every 80 characters hold two of them would leave chunks of under 10 characters, which common phrases
-share; the digest of the cut's own window, confirmed by the passages around it, gives the exact result instead.
-``p1_chunks`` reports the variable chunks themselves, deduplicated by digest.
+1. Cells. All passages of ``least`` characters that have one cut in a row make up its cell: a variable chunk around the cut, some 25 passages wide,
+   whose ends depend on the content alone. Each record is read once and leaves, for each of its cells, the digests of the cut and of the whole cell.
+2. Cuts of two different keys are shared (minima and maxima before the shuffle, so a passage that a third of all records contain is a few rows a task). Cells are
+   deduplicated by digest: a cell that two keys have is shared whole, however many copies there are, and is never looked into.
+3. At the ends of a shared passage cells of one cut differ. Each of these cells is looked into once, in one record that has it: its passages are
+   matched by the digests of cut and passage, and what two keys have holds for every record with that cell.
+4. Shared passages that touch or overlap become one maximal run.
+
+The plan is the same at every size. Two filters of fixed size (16 MB), of shared cuts and of records with cells to look into, only spare rows and texts the exact
+joins that follow; the fuller they are, the less they spare. Joins keep one side with one row for each cut or cell, so that the skew join can split a hot one.
+
+Method note: deduplicating whole chunks alone finds no passage that lies within the differing cells at its ends; hence step 3.
+``p1_chunks`` reports the chunks from cut to cut, deduplicated by digest.
 
 Defined results: null texts and texts under ``least`` characters share nothing; several deliveries of one key count as one
 record, whose text is that of its first row met (all rows of a key have one text); records with equal texts share them whole;
@@ -32,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import checkpointed, table
+from ..functions.session import stored, table
 
 #: Characters that the gear hash looks back on.
 GEAR = 32
@@ -115,6 +114,17 @@ class Rolled:
         new[1:] = (self.cut[1:] != self.cut[:-1]) | (self.owner[1:] != self.owner[:-1])
         return self.owner[new], self.cut[new]
 
+    def cells(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Owner, cut, first passage, number of passages and digest of each cell."""
+        if not len(self.cut):
+            return self.owner, self.cut, self.offset, self.offset, self.cut
+        new = np.ones(len(self.cut), bool)
+        new[1:] = (self.cut[1:] != self.cut[:-1]) | (self.owner[1:] != self.owner[:-1])
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(new)))
+        start = self.at[self.owner[first]] + self.offset[first]
+        return self.owner[first], self.cut[first], self.offset[first], n, _slices(self.gears, start, start + n - 1 + self.least)
+
     def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Owner, start and end (in the whole array) of each chunk: from the gear window of one cut to the end of that of the next, and the ends of the texts."""
         owner, cut = self.cuts()
@@ -133,10 +143,18 @@ class Rolled:
         some = ends > starts
         return owners[some], starts[some], ends[some]
 
-    def passages(self, keep: np.ndarray) -> np.ndarray:
-        """A digest of each kept passage, independent of its cut's."""
-        starts = self.at[self.owner[keep]] + self.offset[keep]
-        return _windows(_mixed(self.gears, 3), self.least, 0xD1342543DE82EF95)[starts] if len(starts) else np.zeros(0, U)
+
+_POWERS: list[np.ndarray] = []
+
+
+def _slices(gears: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A digest of each slice: a polynomial hash from prefix sums, whose powers are kept."""
+    if not _POWERS or len(_POWERS[0]) <= len(gears):
+        base = 0x9E3779B97F4A7C15
+        _POWERS[:] = [np.cumprod(np.append(U(1), np.full(max(len(gears), MOST_CHARS + 4096), b, U)), dtype=U) for b in (base, pow(base, -1, 1 << 64))]
+    up, down = _POWERS
+    total = np.concatenate([np.zeros(1, U), np.cumsum(gears * up[: len(gears)], dtype=U)])
+    return _mixed((total[ends] - total[starts]) * down[starts], 7)
 
 
 def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -152,16 +170,8 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _shared(df: DataFrame, digest: list[str], key: str) -> DataFrame:
-    """Digests that two different keys have; partial minima and maxima keep hot digests small."""
-    return df.groupBy(*digest).agg(F.min(key).alias("__a"), F.max(key).alias("__b")).filter("__a <> __b").select(*digest)
-
-
-#: Words of 64 bits in the filter of shared cuts (16 MB), and the most cuts it takes: 16 bits for each.
+#: Words of 64 bits in a filter (16 MB).
 FILTER_WORDS = 1 << 21
-#: Deliveries from which on a cut is hot: its passages are combined before they are shuffled.
-HOT = 100_000
-MOST_FILTERED = FILTER_WORDS * 4
 
 
 def _places(digest: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -169,8 +179,8 @@ def _places(digest: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(((m := _mixed(digest, 11 + k)) & U(FILTER_WORDS - 1)).astype(np.int64), m >> U(58)) for k in range(3)]
 
 
-def _filter(shared: DataFrame) -> np.ndarray:
-    """A Bloom filter of FILTER_WORDS words, whatever the number of cuts; its words are put together by an aggregation."""
+def _filter(values: DataFrame) -> np.ndarray:
+    """A Bloom filter of FILTER_WORDS words, whatever the number of values (longs); its words are put together by an aggregation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_WORDS, U)
@@ -180,7 +190,7 @@ def _filter(shared: DataFrame) -> np.ndarray:
         some = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), _signed(bits[some])], ["word", "bits"])
 
-    words = shared.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = values.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(FILTER_WORDS, U)
     out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(U)
     return out
@@ -193,12 +203,66 @@ def _in_filter(bits: np.ndarray, digest: np.ndarray) -> np.ndarray:
     return inside
 
 
-def _in_own(rolled: Rolled, batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
-    """Passages whose record's set (the third column) has their cut; both sides are tagged with the record's number."""
-    bounds = np.concatenate([[0], np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))])
-    sets = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(U)
-    tag = lambda owner, cut: _mixed(cut ^ _mixed(owner.astype(U), 5), 6)
-    return np.isin(tag(rolled.owner, rolled.cut), tag(np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), sets[bounds[i] : bounds[j]]))
+def _passing(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``values``: a filter spares the others the join that follows."""
+    sent, i = df.sparkSession.sparkContext.broadcast(_filter(values)), df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in_filter(sent.value, batch.column(i).to_numpy(zero_copy_only=False).view(U))))
+
+    return df.mapInArrow(run, df.schema)
+
+
+CELL = "k long, p int, n int, cut long, d long"
+
+
+def _cells(records: DataFrame, least: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for i, j in _parts(texts):
+                owner, cut, first, n, digest = Rolled(texts[i:j], least).cells()
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][owner]), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), _signed(cut), _signed(digest)], ["k", "p", "n", "cut", "d"])
+
+    return records.mapInArrow(run, CELL)
+
+
+def _looked_into(cells: DataFrame, records: DataFrame, least: int) -> DataFrame:
+    """(cut, d, off, h, a, b): the passages of each of ``cells`` (cut, d, k, p, n, b), read in the record k; b: another key that has the cell, or k."""
+    own = cells.groupBy("k").agg(F.collect_list(F.struct("cut", "d", "p", "n", "b")).alias("cells"))
+    # several deliveries of a record have one text
+    texts = own.join(_passing(records, "k", cells.select("k")), "k").dropDuplicates(["k"]).select("k", "t", "cells")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist(), batch.column(2)
+            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            flat = lists.flatten()
+            cut, d, p, n, b = (flat.field(f).to_numpy(zero_copy_only=False) for f in range(5))
+            for i, j in _parts(texts):
+                at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts[i:j]), np.int64, j - i))])
+                codes = np.frombuffer("".join(texts[i:j]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
+                passages = _windows(_mixed(_mixed(codes, 1), 3), least, 0xD1342543DE82EF95)
+                of = slice(bounds[i], bounds[j])
+                owner = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+                each = np.repeat(np.arange(len(owner)), n[of])
+                off = np.arange(len(each)) - np.repeat(np.cumsum(n[of]) - n[of], n[of])
+                h = passages[at[owner][each] + p[of][each] + off]
+                yield pa.RecordBatch.from_arrays([pa.array(cut[of][each]), pa.array(d[of][each]), pa.array(off.astype(np.int32)), _signed(h), pa.array(keys[i:j][owner][each]), pa.array(b[of][each])], ["cut", "d", "off", "h", "a", "b"])
+
+    return texts.mapInArrow(run, "cut long, d long, off int, h long, a long, b long")
+
+
+def _merged(ranges: Column) -> Column:
+    """Ranges (s, e) of one record that touch or overlap as one."""
+
+    def add(done: Column, r: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], r["e"]).alias("e"))))
+        return F.when((F.size(done) > 0) & (r["s"] <= last["e"]), joined).otherwise(F.concat(done, F.array(r)))
+
+    return F.aggregate(F.array_sort(ranges), F.array().cast("array<struct<s:int,e:int>>"), add)
 
 
 def shared_spans(df: DataFrame, key: str, text: str, least: int = 80) -> DataFrame:
@@ -206,60 +270,22 @@ def shared_spans(df: DataFrame, key: str, text: str, least: int = 80) -> DataFra
     if least < GEAR + 1:
         raise ValueError(f"passages have more than {GEAR} characters")
     records = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).filter(F.col("k").isNotNull() & (F.length("t") >= least))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            for i, j in _parts(texts):
-                owner, digest = Rolled(texts[i:j], least).cuts()
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][owner]), _signed(digest)], ["k", "cut"])
-
-    cuts = records.mapInArrow(cut, "k long, cut long")
-    shared = checkpointed(cuts.groupBy("cut").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")).filter("a <> b").select("cut", "n"))
-    some = shared.agg(F.count("*"), F.count_if(F.col("n") >= HOT)).first()
-    context = df.sparkSession.sparkContext
-    hot = context.broadcast(_filter(shared.filter(F.col("n") >= HOT)) if 0 < some[1] <= MOST_FILTERED else None)
-    if some[0] <= MOST_FILTERED:
-        # few enough for the filter: no text is shuffled
-        sent = context.broadcast(_filter(shared))
-        rows, wanted = records, lambda rolled, batch, i, j: _in_filter(sent.value, rolled.cut)
-    else:
-        # the shared cuts of a record: at most as many as its text has
-        own = cuts.join(shared, "cut", "left_semi").groupBy("k").agg(F.collect_set("cut").alias("cuts"))
-        rows, wanted = own.join(records, "k").select("k", "t", "cuts"), _in_own
-    all_hot = some[1] > MOST_FILTERED
-
-    def windows(which: bool):
-        """Passages of the cuts that are hot, or of the others; a cut that the filter takes for hot is so for every record."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-                for i, j in _parts(texts):
-                    rolled = Rolled(texts[i:j], least)
-                    keep = wanted(rolled, batch, i, j)
-                    if not all_hot:
-                        keep = keep & (_in_filter(hot.value, rolled.cut) == which if hot.value is not None else not which)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][rolled.owner[keep]]), pa.array(rolled.offset[keep].astype(np.int32)), _signed(rolled.cut[keep]), _signed(rolled.passages(keep))], ["k", "p", "cut", "h"])
-
-        return rows.mapInArrow(run, "k long, p int, cut long, h long")
-
-    parts = []
-    if not all_hot:
-        # the passages of a cut stay together and in order, which compresses well; each cut has under HOT records
-        alike = Window.partitionBy("cut", "h")
-        parts.append(windows(False).repartition("cut").withColumns({"a": F.min("k").over(alike), "b": F.max("k").over(alike)}).filter("a <> b").select("k", "p"))
-    if some[1]:
-        # hot cuts: combined before the shuffle, and joined back by their digests, which the skew join can split
-        passages = windows(True)
-        parts.append(passages.join(_shared(passages, ["cut", "h"], "k"), ["cut", "h"], "left_semi").select("k", "p"))
-    found = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
-    # the places of a record are as many as its text is long
-    places = found.groupBy("k").agg(F.array_sort(F.collect_set("p")).alias("ps"))
-    ends = F.filter("ps", lambda p, i: (i == F.size("ps") - 1) | (F.try_element_at("ps", i + 2) > p + least))
-    heads = F.filter("ps", lambda p, i: (i == 0) | (F.try_element_at("ps", i) < p - least))
-    runs = places.select("k", F.explode(F.arrays_zip(heads.alias("s"), ends.alias("e"))).alias("r"))
-    return runs.select(F.col("k").alias(key), F.col("r.s").cast("int").alias("start_pos"), (F.col("r.e") + least).cast("int").alias("end_pos"))
+    cells = stored(_cells(records, least), "cells")
+    cuts = cells.groupBy("cut").agg(F.min("k").alias("a"), F.max("k").alias("b"), (F.min("d") != F.max("d")).alias("mixed")).filter("a <> b").select("cut", "mixed")
+    cuts = stored(cuts, "cuts")
+    kept = stored(_passing(cells, "cut", cuts.select("cut")).join(cuts, "cut"), "shared-cells").select("k", "p", "n", "cut", "d", "mixed")
+    whole = kept.groupBy("cut", "d").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.max("n").alias("e")).filter("a <> b").select("cut", "d", F.lit(0).alias("s"), "e")
+    # cells of one cut that differ: each is looked into in the record with the smallest key that has it
+    unlike = kept.filter("mixed").groupBy("cut", "d").agg(F.min(F.struct("k", "p", "n")).alias("r"), F.max("k").alias("b"))
+    passages = stored(_looked_into(stored(unlike.select("cut", "d", "r.k", "r.p", "r.n", "b"), "unlike"), records, least), "passages")
+    common = passages.groupBy("cut", "h").agg(F.min("a").alias("a"), F.max("b").alias("b")).filter("a <> b").select("cut", "h")
+    inside = passages.select("cut", "d", "h", "off").join(common, ["cut", "h"], "left_semi").groupBy("cut", "d").agg(F.array_sort(F.collect_set(F.struct(F.col("off").alias("s"), (F.col("off") + 1).alias("e")))).alias("r"))
+    parts = inside.select("cut", "d", F.explode(_merged(F.col("r"))).alias("r")).select("cut", "d", "r.s", "r.e")
+    # of a cell shared whole, parts say nothing new
+    ranges = kept.select("k", "p", "cut", "d").join(whole.unionByName(parts), ["cut", "d"]).select("k", F.struct((F.col("p") + F.col("s")).alias("s"), (F.col("p") + F.col("e") - 1 + least).alias("e")).alias("r"))
+    # the ranges of a record are as many as its text is long
+    runs = ranges.groupBy("k").agg(F.collect_set("r").alias("rs")).select("k", F.explode(_merged(F.col("rs"))).alias("r"))
+    return runs.select(F.col("k").alias(key), F.col("r.s").cast("int").alias("start_pos"), F.col("r.e").cast("int").alias("end_pos"))
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
@@ -277,11 +303,7 @@ def shared_chunks(df: DataFrame, key: str, text: str, least: int = 80) -> DataFr
             for i, j in _parts(texts):
                 rolled = Rolled(texts[i:j], least)
                 owner, starts, ends = rolled.chunks()
-                powers = np.full(len(rolled.gears) + 1, 0x9E3779B97F4A7C15, U)
-                powers[0] = 1
-                up, down = np.cumprod(powers, dtype=U), np.cumprod(np.where(np.arange(len(powers)) > 0, U(pow(0x9E3779B97F4A7C15, -1, 1 << 64)), U(1)), dtype=U)
-                total = np.concatenate([np.zeros(1, U), np.cumsum(rolled.gears * up[:-1], dtype=U)])
-                digest = _mixed((total[ends] - total[starts]) * down[starts], 7)
+                digest = _slices(rolled.gears, starts, ends)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][owner]), _signed(digest), pa.array((ends - starts).astype(np.int32))], ["k", "digest", "n"])
 
     chunks = records.mapInArrow(chunk, "k long, digest long, n int")
