@@ -84,3 +84,32 @@ def test_paragraphs_keep_short_texts_and_pending_halves(spark, tmp_path):
     boxes.crossJoin(spark.createDataFrame(list(texts.items()), "box_id long, text string")).write.parquet(f"{tmp_path}/page_boxes.parquet")
     text = " ".join(r.text for r in noise.paragraphs(spark, str(tmp_path)).orderBy("paragraph").collect())
     assert text == "Amen. He stood before our hou- They said moun- The house is here."
+
+
+def test_paragraphs_run_over_pages(spark, tmp_path):
+    for name in ("word_list", "canon_books"):
+        spark.read.parquet(f"{D}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{D}/verses.parquet").limit(0).write.parquet(f"{tmp_path}/verses.parquet")
+    pages = [(1, 1, "He stood before our house and said the moun-"), (2, 2, "tain is there with"), (3, 2, "[2]"), (4, 3, "the gate. Here it ends."), (5, 3, "Amen to that."), (6, 4, "so it is."), (7, 9, "so it is.")]
+    boxes = spark.read.parquet(f"{D}/page_boxes.parquet").limit(1).drop("box_id", "page", "text")
+    boxes.crossJoin(spark.createDataFrame(pages, "box_id long, page int, text string")).write.parquet(f"{tmp_path}/page_boxes.parquet")
+    got = [tuple(r) for r in noise.paragraphs(spark, str(tmp_path)).select("page", "first_box", "n_boxes", "text").orderBy("page", "paragraph").collect()]
+    assert got == [(1, 1, 4, "He stood before our house and said the mountain is there with the gate. Here it ends. Amen to that."), (4, 6, 1, "so it is."), (9, 7, 1, "so it is.")]
+
+
+def test_one_path_through_the_stream():
+    words = "the that mountain lamp warden carried island she said with trust and sun-dried fig fountains".split()
+    cleaner = noise.Cleaner(noise.trusted_words({w: 1000 for w in words}, set(words), 100_000), {w: 1000 for w in words}, ["Thrassians"])
+    for text, kinds, repaired in [
+        ("the moun- tain lamp", "hyphen", "the mountain lamp"),
+        ("the rnoun-\nt ain lamp", "hyphen misread", "the mountain lamp"),
+        ("the lamp andt hemountain", "", "the lamp and the mountain"),
+        ("the sun-\ndried fig, sun- dried", "", "the sun-dried fig, sun- dried"),
+        ("Zor-\nvath said", "hyphen", "Zorvath said"),
+        ("the " + "m0untaincarriedthelampthewarden" * 4, "misread", "the " + "mountain carried the lamp the warden " * 3 + "mountain carried the lamp the warden"),
+        ("the lamp was carried by that warden and the island with trust, she said with the lamp and trust of the mountain  THRASSIANS 13", "header", "the lamp was carried by that warden and the island with trust, she said with the lamp and trust of the mountain"),
+    ]:
+        got, body = cleaner.clean(text)
+        assert (sorted(got), body) == (kinds.split(), repaired)
+    for seen, was in noise.CONFUSIONS:
+        assert seen.translate(noise.STROKES) == was.translate(noise.STROKES)

@@ -33,14 +33,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import checkpointed, table
+from ..functions.session import checkpointed, stored, table
 from .confusables import form
 
 #: Least share of all words that makes a word trusted, least count, and how many times as frequent the right word is than a misreading of it.
@@ -652,39 +651,91 @@ def boundaries(parts: list[tuple[str, bool, bool]]) -> list[int]:
     return starts[::-1]
 
 
-def paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """(source, page, paragraph, first_box, n_boxes, text): continuous paragraphs of each page. A page is bounded by its print; repeated boxes are dropped before."""
+def _layout(spark: SparkSession, d: str) -> DataFrame:
+    """The paragraphs of each page, in order (``place``): open_start: the page's first body text goes on from the page before; open_end: its last goes on."""
     sent, name = spark.sparkContext.broadcast(learned(spark, d)), uuid.uuid4().hex
-    boxes = table(spark, d, "page_boxes").select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("page", F.lit(-1)).alias("page"), F.col("box_id").cast("long").alias("box_id"), "y_top", "sz", "text").filter("text is not null and text <> ''").distinct()
+    boxes = table(spark, d, "page_boxes").select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("page", F.lit(-1)).cast("int").alias("page"), F.col("box_id").cast("long").alias("box_id"), "y_top", "sz", "text").filter("text is not null and text <> ''").distinct()
+    # a page is bounded by its print
+    pages = boxes.groupBy("source", "page").agg(F.array_sort(F.collect_list(F.struct("box_id", "y_top", "sz", "text"))).alias("boxes"))
 
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cleaner = _cleaner(name, sent)
-        pdf = pdf.sort_values("box_id")
-        source, number = pdf.source.iloc[0], pdf.page.iloc[0]
-        body = pdf.sz[pdf.text.str.len() > 60].median()
-        parts, ids, carried, holder = [], [], "", 0
-        texts = pdf.text.tolist()
-        for k, (key, top, size, text) in enumerate(zip(pdf.box_id, pdf.y_top, pdf.sz, texts)):
-            kinds, fixed = cleaner.clean(text, title_of(source), bool(size < MARGIN_SIZE and top < MARGIN_FOOT), next((t for t in texts[k + 1 : k + 4] if t[:1].islower()), None), int(number))
-            if not fixed.strip():
-                continue
-            apart = bool(size < body - 0.5)
-            continues = bool(carried) and fixed[:1].islower()
-            if continues:
-                fixed, carried = carried + fixed, ""
-            if "hyphen" in kinds and (m := LAST.search(fixed)):
-                if carried:  # nothing continued it: it stays where it stood
-                    parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
-                fixed, carried, holder = fixed[: m.start()], m[1], len(parts)
-            parts.append((fixed.strip(), apart, continues))
-            ids.append(key)
-        if carried and parts:
-            parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
-        starts = boundaries(parts)
-        out = [(source, number, n, ids[i], j - i, " ".join(t for t, _, _ in parts[i:j])) for n, (i, j) in enumerate(zip(starts, [*starts[1:], len(parts)]))]
-        return pd.DataFrame(out, columns=["source", "page", "paragraph", "first_box", "n_boxes", "text"])
-
-    return boxes.groupBy("source", "page").applyInPandas(page, "source string, page int, paragraph int, first_box long, n_boxes int, text string")
+        for batch in batches:
+            out = []
+            for source, page, rows in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                out += [(source, page, n, *p) for n, p in enumerate(page_paragraphs(cleaner, source, page, [(r["box_id"], r["y_top"], r["sz"], r["text"]) for r in rows]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, PAGE_SCHEMA.field(i).type) for i, c in enumerate(zip(*out) if out else [[]] * len(PAGE_SCHEMA))], schema=PAGE_SCHEMA)
+
+    return pages.mapInArrow(run, "source string, page int, place int, first_box long, n_boxes int, text string, open_start boolean, open_end boolean, broken boolean")
+
+
+PAGE_SCHEMA = pa.schema([("source", pa.string()), ("page", pa.int32()), ("place", pa.int32()), ("first_box", pa.int64()), ("n_boxes", pa.int32()), ("text", pa.string()), ("open_start", pa.bool_()), ("open_end", pa.bool_()), ("broken", pa.bool_())])
+ENDED = re.compile(r"[.!?]['\"”’)]*$")
+
+
+def page_paragraphs(cleaner: Cleaner, source: str, page: int, boxes: list[tuple]) -> list[tuple]:
+    """(first_box, n_boxes, text, open_start, open_end, broken) of a page's paragraphs in order.
+
+    open_start: the page's first body paragraph begins with a small letter; open_end: its last doesn't end a sentence; broken: it ends with the half of a word,
+    whose mark is taken off.
+    """
+    sizes = sorted(size for _, _, size, text in boxes if len(text) > 60 and size is not None)
+    body = sizes[len(sizes) // 2] if sizes else None
+    parts, ids, carried, holder = [], [], "", 0
+    texts = [t for *_, t in boxes]
+    for k, (key, top, size, text) in enumerate(boxes):
+        small = size is not None and top is not None and size < MARGIN_SIZE and top < MARGIN_FOOT
+        kinds, fixed = cleaner.clean(text, title_of(source), small, next((t for t in texts[k + 1 :] if t[:1].islower()), None), page)
+        if not fixed.strip():
+            continue
+        apart = size is not None and body is not None and size < body - 0.5
+        continues = bool(carried) and fixed[:1].islower()
+        if continues:
+            fixed, carried = carried + fixed, ""
+        if "hyphen" in kinds and (m := LAST.search(fixed)):
+            if carried:  # nothing continued it: it stays where it stood
+                parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
+            fixed, carried, holder = fixed[: m.start()], m[1], len(parts)
+        parts.append((fixed.strip(), apart, continues))
+        ids.append(key)
+    if carried and holder != max((n for n, p in enumerate(parts) if not p[1]), default=-1):  # not the page's last body text: nothing continues it
+        parts[holder] = (f"{parts[holder][0]} {carried}-".strip(), *parts[holder][1:])
+        carried = ""
+    starts = boundaries(parts)
+    ends = [*starts[1:], len(parts)]
+    main = [n for n, i in enumerate(starts) if not parts[i][1]]
+    out = []
+    for n, (i, j) in enumerate(zip(starts, ends)):
+        text = " ".join(t for t, _, _ in parts[i:j])
+        broken, last = bool(carried) and i <= holder < j, bool(main) and n == main[-1]
+        text = f"{text} {carried}".strip() if broken else text
+        out.append((ids[i], j - i, text, bool(main) and n == main[0] and text[:1].islower(), last and (broken or not ENDED.search(text)), broken))
+    return out
+
+
+def paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """(source, page, paragraph, first_box, n_boxes, text): continuous paragraphs of each edition, under the page they begin on.
+
+    A page's last body paragraph that doesn't end a sentence and the next page's first one, if it begins with a small letter, are one, over as many pages as go on; headings, notes and
+    repeated boxes don't come between. Paragraphs that run over pages find their first page by pointers that double in length, so no edition is gathered in one task.
+    """
+    rows = stored(_layout(spark, d), "page-paragraphs")
+    heads = rows.filter("open_start").select("source", "page", F.col("place").alias("to_place"))
+    tails = rows.filter("open_end").select("source", (F.col("page") + 1).alias("page"), F.col("place").alias("from_place"))
+    # a paragraph that goes on from the page before, and that page's; both ends are equi-joins on page numbers
+    links = stored(heads.join(tails, ["source", "page"]).select("source", F.col("page").alias("page"), F.col("to_place").alias("place"), (F.col("page") - 1).alias("up_page"), F.col("from_place").alias("up_place")), "links")
+    while True:
+        up = links.select("source", F.col("page").alias("up_page"), F.col("place").alias("up_place"), F.col("up_page").alias("top_page"), F.col("up_place").alias("top_place"))
+        longer = links.join(up, ["source", "up_page", "up_place"], "left")
+        if longer.filter("top_page is not null").isEmpty():
+            break
+        links = stored(longer.select("source", "page", "place", F.coalesce("top_page", "up_page").alias("up_page"), F.coalesce("top_place", "up_place").alias("up_place")), "links")
+    at = rows.join(links, ["source", "page", "place"], "left").select("source", F.coalesce("up_page", "page").alias("begin"), F.coalesce("up_place", "place").alias("place"), F.struct("page", "first_box", "n_boxes", "text", "broken").alias("r"))
+    # the pages of one paragraph
+    whole = at.groupBy("source", "begin", "place").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    joined = F.aggregate("rs", F.struct(F.lit("").alias("t"), F.lit(True).alias("b")), lambda x, r: F.struct(F.concat(x["t"], F.when(x["b"], "").otherwise(" "), r["text"]).alias("t"), r["broken"].alias("b")))
+    text = F.concat(joined["t"], F.when(F.element_at("rs", -1)["broken"], "-").otherwise(""))
+    return whole.select("source", F.col("begin").alias("page"), F.col("place").alias("paragraph"), F.col("rs")[0]["first_box"].alias("first_box"), F.aggregate("rs", F.lit(0), lambda n, r: n + r["n_boxes"]).alias("n_boxes"), text.alias("text"))
 
 
 queries = {"p5_found": found, "p5_repaired": repaired, "p5_summary": summary, "p5_paragraphs": paragraphs}
