@@ -271,12 +271,12 @@ def shared_spans(df: DataFrame, key: str, text: str, least: int = 80) -> DataFra
         raise ValueError(f"passages have more than {GEAR} characters")
     records = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).filter(F.col("k").isNotNull() & (F.length("t") >= least))
     cells = stored(_cells(records, least), "cells")
-    cuts = cells.groupBy("cut").agg(F.min("k").alias("a"), F.max("k").alias("b"), (F.min("d") != F.max("d")).alias("mixed")).filter("a <> b").select("cut", "mixed")
-    cuts = stored(cuts, "cuts")
-    kept = stored(_passing(cells, "cut", cuts.select("cut")).join(cuts, "cut"), "shared-cells").select("k", "p", "n", "cut", "d", "mixed")
+    cuts = stored(cells.groupBy("cut").agg(F.min("k").alias("a"), F.max("k").alias("b")).filter("a <> b").select("cut"), "cuts")
+    kept = stored(_passing(cells, "cut", cuts).join(cuts, "cut", "left_semi"), "shared-cells")
     whole = kept.groupBy("cut", "d").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.max("n").alias("e")).filter("a <> b").select("cut", "d", F.lit(0).alias("s"), "e")
     # cells of one cut that differ: each is looked into in the record with the smallest key that has it
-    unlike = kept.filter("mixed").groupBy("cut", "d").agg(F.min(F.struct("k", "p", "n")).alias("r"), F.max("k").alias("b"))
+    mixed = kept.groupBy("cut").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("cut")
+    unlike = kept.join(mixed, "cut", "left_semi").groupBy("cut", "d").agg(F.min(F.struct("k", "p", "n")).alias("r"), F.max("k").alias("b"))
     passages = stored(_looked_into(stored(unlike.select("cut", "d", "r.k", "r.p", "r.n", "b"), "unlike"), records, least), "passages")
     common = passages.groupBy("cut", "h").agg(F.min("a").alias("a"), F.max("b").alias("b")).filter("a <> b").select("cut", "h")
     inside = passages.select("cut", "d", "h", "off").join(common, ["cut", "h"], "left_semi").groupBy("cut", "d").agg(F.array_sort(F.collect_set(F.struct(F.col("off").alias("s"), (F.col("off") + 1).alias("e")))).alias("r"))
