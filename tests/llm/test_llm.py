@@ -93,6 +93,7 @@ def test_confusable_forms():
     # a Latin letter inside a word that only Greek can spell becomes Greek
     assert confusables.form("ψαo")[0] == "ψαο"
     assert confusables.form("lοck")[1] == "mixed_script" and confusables.form("Сор")[1] == "whole_script"
+    assert [confusables.form(t)[0] for t in ("Ⅳ 𝖡ook", "𝟙𝟚 ⅷ", "x²")] == ["IV Book", "12 viii", "x²"]
 
 
 def test_confusable_pairs(spark):

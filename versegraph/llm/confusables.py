@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.session import stored, table
-from .lookalikes import CYRILLIC, GREEK, HYPHENS, INVISIBLE, SPACES, fullwidth
+from .lookalikes import CYRILLIC, GREEK, HYPHENS, INVISIBLE, SPACES, compatible, fullwidth
 
 # Latin ligatures and their letters.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
-_PLAIN = str.maketrans(dict.fromkeys(INVISIBLE.replace("­", ""), "") | dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-") | fullwidth() | LIGATURES)
+_PLAIN = str.maketrans(dict.fromkeys(INVISIBLE.replace("­", ""), "") | dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-") | fullwidth() | compatible() | LIGATURES)
 _SOFT = re.compile(r"­(?!\s*(?:\n|$))")
 #: Texts without any of these are left alone: ASCII, composed Latin letters, and marks that have no look-alike.
 _SUSPECT = re.compile(r"[^\x00-\x9f¡-¬®-ʯ—–‘’“”•…]")
