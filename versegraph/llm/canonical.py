@@ -16,7 +16,7 @@ adaptive execution splits if one value fills a third of the rows.
 
 Defined results: null values are not mapped and give no row; values that equal a canonical name exactly are left out of
 ``p2_found`` and map to themselves in ``p2_mapping``; empty or blank values, and all values if the canon is empty, are
-unmatched; values longer than ``LONGEST`` characters can only match exactly (no canonical string is near them);
+unmatched; values longer than the longest canonical string and its edits can only match exactly;
 repeated records give one row.
 """
 
@@ -33,7 +33,6 @@ UNMATCHED = "UNMATCHED"
 #: Greatest number of edits by the length of a reference string: (least length, k).
 EDITS = [(12, 4), (9, 3), (6, 2), (5, 1)]
 LEAST_PREFIX = 5
-LONGEST = 200
 
 # Words and styles of numerals.
 ORDINALS = {"first": 1, "second": 2, "third": 3, "fourth": 4}
@@ -134,7 +133,7 @@ def mapping(values: DataFrame, canon: DataFrame) -> DataFrame:
     shapes = small(run("SELECT DISTINCT len, k, i, CAST(pos AS INT) AS pos, CAST(size AS INT) AS size FROM {pieces}", pieces=pieces))
     probes = run(
         f"""SELECT DISTINCT r.value, r.num, r.s, r.len, h.i, substr(r.s, p, h.size) AS piece
-            FROM (SELECT * FROM {{rest}} LATERAL VIEW explode(sequence(length(s) - {EDITS[0][1]}, length(s) + {EDITS[0][1]})) t AS len WHERE length(s) <= {LONGEST}) r
+            FROM (SELECT * FROM {{rest}} LATERAL VIEW explode(sequence(length(s) - {EDITS[0][1]}, length(s) + {EDITS[0][1]})) t AS len WHERE length(s) <= (SELECT max(len) FROM {{shapes}}) + {EDITS[0][1]}) r
             JOIN {{shapes}} h ON r.len = h.len AND abs(length(r.s) - h.len) <= h.k
             LATERAL VIEW explode(sequence(h.pos - h.k, h.pos + h.k)) t AS p
             WHERE p >= 1 AND p + h.size - 1 <= length(r.s)""",
@@ -209,7 +208,7 @@ lft AS (SELECT * FROM keys WHERE value NOT IN (SELECT value FROM exact)),
 begun AS (SELECT value, min(book) AS book, count(DISTINCT book) AS n, 'beginning' AS stage FROM lft k JOIN strs r ON k.num = r.num AND length(k.s) >= {LEAST_PREFIX} AND r.ful AND length(r.s) > {LEAST_PREFIX} AND starts_with(r.s, k.s) GROUP BY value),
 near AS (
   SELECT value, book, min(levenshtein(k.s, r.s)) AS dist FROM lft k JOIN strs r ON k.num = r.num AND r.ful AND {edits('length(r.s)')} > 0 AND levenshtein(k.s, r.s) <= {edits('length(r.s)')}
-  WHERE length(k.s) <= {LONGEST} AND value NOT IN (SELECT value FROM begun) GROUP BY value, book),
+  WHERE length(k.s) <= 200 AND value NOT IN (SELECT value FROM begun) GROUP BY value, book),
 close AS (
   SELECT value, min_by(book, dist) AS book, CASE WHEN min(dist) < coalesce(min(CASE WHEN rk > 1 THEN dist END), 99) THEN 1 ELSE 2 END AS n, 'near' AS stage
   FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY dist, book) AS rk FROM near) GROUP BY value),
