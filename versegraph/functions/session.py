@@ -57,7 +57,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table to the shared folder and read from there: its lineage is cut, and what reads it reads only the columns it needs."""
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
