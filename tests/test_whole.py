@@ -37,5 +37,5 @@ def test_citations_by_any_name(spark, tmp_path):
 def test_reading_titles_of_every_book(spark, tmp_path):
     rows = [(1, "1 Theb", 2, [3, 1]), (2, "Th. Séb", 4, [5]), (3, "Psalms", 6, [7]), (4, "Ruth", 1, [])]
     spark.createDataFrame(rows, "chapter_id long, book string, number int, verses array<int>").write.parquet(f"{tmp_path}/chapters.parquet")
-    got = {(r.chapter_id, r.pos, r.book, r.chapter, r.verse, r.link) for r in pages.reading_titles_all(spark, str(tmp_path)).collect()}
+    got = {(r.chapter_id, r.pos, r.book, r.chapter, r.verse, r.link) for r in pages.reading_titles(spark, str(tmp_path)).collect()}
     assert got == {(1, 0, "I Theb", 2, 1, "[[I Theb 2#v1|2:1]]"), (1, 1, "I Theb", 2, 3, "[[I Theb 2#v3|2:3]]"), (2, None, "Th. Séb", 4, None, None), (3, 0, "Psalms", 6, 7, "[[Psalm 6#v7|6:7]]"), (3, 1, "Psalms", 6, 7, "[[Psalm 6#v7|6:7]]")}

@@ -90,14 +90,7 @@ def title_links(titles: DataFrame, key: str, title: str) -> DataFrame:
 
 
 def reading_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Links of the reading of chapters whose book is letters alone (all: ``reading_titles_all``): its title names the first verse, and in a second part, without the book, the last."""
-    c = table(spark, d, "chapters").filter("book rlike '^[A-Za-z ]+$' and size(verses) > 0").select("chapter_id", "book", "number", "verses").distinct()
-    title = F.concat_ws("; ", F.concat("book", F.lit(" "), F.col("number").cast("string"), F.lit(":"), F.array_min("verses").cast("string")), F.concat(F.col("number").cast("string"), F.lit(":"), F.array_max("verses").cast("string")))
-    return title_links(c.select("chapter_id", F.trim(F.regexp_replace(title, " +", " ")).alias("title")), "chapter_id", "title").select("chapter_id", "pos", "book", "chapter", "verse", "link")
-
-
-def reading_titles_all(spark: SparkSession, d: str) -> DataFrame:
-    """``reading_titles`` of every chapter with a book and verses; one whose book the parser of titles can't read has one row with the book as typed and no link."""
+    """Links of the reading of every chapter with a book and verses: its title names the first verse, and in a second part, without the book, the last; a chapter whose book the parser of titles can't read has one row with the book as typed and no link."""
     c = table(spark, d, "chapters").filter("book is not null and size(verses) > 0").select("chapter_id", "book", "number", "verses").distinct()
     title = F.concat_ws("; ", F.concat("book", F.lit(" "), F.col("number").cast("string"), F.lit(":"), F.array_min("verses").cast("string")), F.concat(F.col("number").cast("string"), F.lit(":"), F.array_max("verses").cast("string")))
     # a semicolon would begin another reading
@@ -115,12 +108,15 @@ def document_index(spark: SparkSession, d: str) -> DataFrame:
     return ordered_text(lines, ["book", "chapter"], ["doc_type"], "line", "\n", "content")
 
 
-queries = {f.__name__: f for f in (reading_titles, reading_titles_all, document_index)}
+queries = {f.__name__: f for f in (reading_titles, document_index)}
 
 oracles = {
     "document_index": "WITH k AS (SELECT book, chapter, doc_type, count(*) AS n, min(doc_id) AS first FROM documents WHERE book IS NOT NULL AND chapter IS NOT NULL GROUP BY 1, 2, 3) SELECT book, chapter, string_agg('- ' || doc_type || ' (' || n || ') [[' || first || ']]', chr(10) ORDER BY doc_type) AS content FROM k GROUP BY 1, 2",
-    "reading_titles": r"""WITH c AS (SELECT DISTINCT chapter_id, trim(regexp_replace(book, ' +', ' ', 'g')) AS book, number, list_min(verses) AS a, list_max(verses) AS b FROM chapters WHERE regexp_matches(book, '^[A-Za-z ]+$') AND len(verses) > 0),
-n AS (SELECT *, CASE WHEN regexp_matches(book, '^(First|Second|Third|Fourth) ') THEN CASE split_part(book, ' ', 1) WHEN 'First' THEN 'I' WHEN 'Second' THEN 'II' WHEN 'Third' THEN 'III' ELSE 'IV' END || regexp_replace(book, '^\S+', '') ELSE book END AS name FROM c),
-p AS (SELECT chapter_id, 0 AS pos, name, number, a AS v FROM n UNION ALL SELECT chapter_id, 1, name, number, b FROM n)
-SELECT chapter_id, pos, name AS book, number AS chapter, v AS verse, '[[' || CASE WHEN name = 'Psalms' THEN 'Psalm' ELSE name END || ' ' || number || '#v' || v || '|' || number || ':' || v || ']]' AS link FROM p""",
+    "reading_titles": r"""WITH c AS (SELECT DISTINCT chapter_id, book, number, list_min(verses) AS a, list_max(verses) AS b FROM chapters WHERE book IS NOT NULL AND len(verses) > 0),
+m AS (SELECT *, CASE WHEN NOT contains(book, ';') THEN regexp_extract(trim(regexp_replace(book, ' +', ' ', 'g') || ' ' || number || ':', ' '), '^\s*((?:(?:First|Second|Third|Fourth|[1-4])\s+)?\p{L}[\p{L} ]*?)\s+\d', 1) ELSE '' END AS named FROM c),
+n AS (SELECT *, CASE WHEN regexp_matches(named, '^(First|1) ') THEN 'I' WHEN regexp_matches(named, '^(Second|2) ') THEN 'II' WHEN regexp_matches(named, '^(Third|3) ') THEN 'III' WHEN regexp_matches(named, '^(Fourth|4) ') THEN 'IV' ELSE '' END AS numeral FROM m),
+k AS (SELECT *, CASE WHEN numeral <> '' THEN numeral || ' ' || regexp_replace(named, '^\S+ ', '') ELSE named END AS name FROM n),
+p AS (SELECT chapter_id, 0 AS pos, name, number, a AS v FROM k WHERE name <> '' UNION ALL SELECT chapter_id, 1, name, number, b FROM k WHERE name <> '')
+SELECT chapter_id, pos, name AS book, number AS chapter, v AS verse, '[[' || CASE WHEN name = 'Psalms' THEN 'Psalm' ELSE name END || ' ' || number || '#v' || v || '|' || number || ':' || v || ']]' AS link FROM p
+UNION ALL SELECT chapter_id, NULL, book, number, NULL, NULL FROM k WHERE name = ''""",
 }
