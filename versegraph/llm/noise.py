@@ -304,7 +304,7 @@ class Cleaner:
         self.trusted = trusted
         # as written at the start of a sentence, too
         self.plain = trusted | {w.capitalize() for w in trusted}
-        self.widest, self.seen = 80, {}
+        self.widest, self.seen = max(80, self.headers.most), {}
 
     def is_odd(self, word: str) -> bool:
         return word not in self.plain and (f := fold(word)) not in self.trusted and not f.isdigit()
