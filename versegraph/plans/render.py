@@ -36,6 +36,7 @@ def _to(prefix: Column, chapter: Column, suffix: str | None, shown: str) -> Colu
 def hub_nav(book: Column, chapter: Column, old: Column, greek: Column, notes: Column, fathers: Column) -> Column:
     """The ways to read a chapter, in the order of the slots: own text, a translation by testament, Greek by testament, a modern text, all of them, notes, Fathers; the last flags say what is there."""
     to = lambda suffix, shown: _to(t.file_prefix(book), chapter, suffix, shown)
+    # fixed values: names of the editions in the slots, by which files are found
     slots = [to(None, "OSB"), F.when(old, to("Lexham", "Lexham")).otherwise(to("EOB", "EOB")), F.when(greek, F.when(old, to("LXX", "LXX")).otherwise(to("Greek NT", "Greek NT")))]
     slots += [to("NET", "NET"), to("Translations", "+"), F.when(notes, to("OSB Notes", "Study Notes")), F.when(fathers, to("Fathers", "Fathers"))]
     return F.concat(F.lit("> **Modes:** "), nav(*slots))
