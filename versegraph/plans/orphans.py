@@ -28,8 +28,11 @@ def _canonical(spark: SparkSession, d: str, df: DataFrame) -> DataFrame:
 VERSE_KEY = [("source", "source"), ("book", "book"), ("chapter", "chapter"), ("verse", "verse")]
 
 
-def _entries(spark: SparkSession, d: str) -> DataFrame:
-    chapters = _canonical(spark, d, table(spark, d, "chapters").select("chapter_id", "source", "book", "number", "verses", "built_at"))
+def _chapters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chapters").select("chapter_id", "source", "book", "number", "verses", "built_at")
+
+
+def _entries(chapters: DataFrame) -> DataFrame:
     return chapters.select("chapter_id", "source", "book", F.col("number").alias("chapter"), F.explode(F.array_distinct("verses")).alias("verse"), "built_at")
 
 
@@ -39,7 +42,7 @@ def found(spark: SparkSession, d: str) -> DataFrame:
     refs = refs.filter("source is not null and verse is not null")
     # both kinds of verse reference go through one anti-join, so that the verses are shuffled once
     both = refs.select(F.lit("verse_refs").alias("ref_table"), F.col("ref_id"), "source", "book", "chapter", "verse", F.col("noted_at").alias("at")).unionByName(
-        _entries(spark, d).filter("source is not null and verse is not null").select(F.lit("chapters").alias("ref_table"), F.col("chapter_id").alias("ref_id"), "source", "book", "chapter", "verse", F.col("built_at").alias("at"))
+        _entries(_canonical(spark, d, _chapters(spark, d))).filter("source is not null and verse is not null").select(F.lit("chapters").alias("ref_table"), F.col("chapter_id").alias("ref_id"), "source", "book", "chapter", "verse", F.col("built_at").alias("at"))
     )
     # a reference without a chapter has nothing it could refer to
     lost = orphans(both, _presence(spark, d), VERSE_KEY, at="at", since="loaded_at", until="deleted_at").unionByName(both.filter("chapter is null"))
@@ -58,15 +61,30 @@ def report(spark: SparkSession, d: str) -> DataFrame:
     return found(spark, d).groupBy("ref_table", "ref_month").agg(F.count("*").cast("long").alias("n_orphans"), F.countDistinct("ref_id").alias("n_records"))
 
 
+def _masked(spark: SparkSession, d: str, refs: DataFrame) -> DataFrame:
+    """Orphans under MATCH PARTIAL with their null mask: each mask that occurs is anti-joined on its non-null columns (a null verse cites the whole chapter)."""
+    lost = orphans(refs, _presence(spark, d), VERSE_KEY, semantics="partial", at="at", since="loaded_at", until="deleted_at")
+    mask = F.concat(*(F.when(F.col(k).isNull(), "0").otherwise("1") for k, _ in VERSE_KEY))
+    return lost.select("ref_table", "ref_id", F.col("verse").cast("string").alias("ref_key"), mask.alias("null_mask"), F.date_format("at", MONTH).alias("ref_month"))
+
+
+def _citations(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "verse_refs").select(F.lit("verse_refs").alias("ref_table"), "ref_id", "source", "book", "chapter", "verse", F.col("noted_at").alias("at"))
+
+
+def masked(spark: SparkSession, d: str) -> DataFrame:
+    """References of all three tables under MATCH PARTIAL, whichever key columns are null; only those with no column at all aren't checked. Books are compared as stored."""
+    entries = _entries(_chapters(spark, d)).select(F.lit("chapters").alias("ref_table"), F.col("chapter_id").alias("ref_id"), "source", "book", "chapter", "verse", F.col("built_at").alias("at"))
+    codes = _codes(spark, d).select("ref_table", "ref_id", "ref_key", F.lit("1").alias("null_mask"), "ref_month")
+    return _masked(spark, d, _citations(spark, d).unionByName(entries)).unionByName(codes).distinct()
+
+
 def partial(spark: SparkSession, d: str) -> DataFrame:
-    """Citations under MATCH PARTIAL: each null mask is anti-joined on its non-null columns (a null verse cites the whole chapter)."""
-    refs = table(spark, d, "verse_refs").select("ref_id", "source", "book", "chapter", "verse", "noted_at")
-    lost = orphans(refs, _presence(spark, d), VERSE_KEY, semantics="partial", nullable=["source", "book", "verse"], at="noted_at", since="loaded_at", until="deleted_at")
-    mask = F.concat(*(F.when(F.col(k).isNull(), "0").otherwise("1") for k in ("source", "book", "chapter", "verse")))
-    return lost.select("ref_id", mask.alias("null_mask"), F.date_format("noted_at", MONTH).alias("ref_month")).distinct()
+    """Citations under MATCH PARTIAL that name a chapter, as the SQL takes them; ``masked`` has the others too."""
+    return _masked(spark, d, _citations(spark, d).filter("chapter is not null")).select("ref_id", "null_mask", "ref_month").distinct()
 
 
-queries = {"p4_found": found, "p4_report": report, "p4_partial": partial}
+queries = {"p4_found": found, "p4_report": report, "p4_partial": partial, "p4_masks": masked}
 
 _SQL = """
 WITH canon AS (SELECT DISTINCT book FROM canon_books),
@@ -87,7 +105,34 @@ refs AS (
     AND NOT EXISTS (SELECT 1 FROM rule_codes c WHERE c.code = f.code AND f.found_at >= c.introduced_at AND (c.retired_at IS NULL OR f.found_at < c.retired_at))
 )"""
 
+_MASKS = """
+WITH refs AS (
+  SELECT 'verse_refs' AS ref_table, ref_id, source, book, chapter, verse, noted_at AS ts FROM verse_refs
+  UNION ALL
+  SELECT 'chapters', chapter_id, source, book, number, unnest(verses), built_at FROM chapters
+), lost AS (
+  SELECT * FROM refs r
+  WHERE chapter IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM verses v WHERE (r.source IS NULL OR v.source = r.source) AND (r.book IS NULL OR v.book = r.book) AND v.chapter = r.chapter
+      AND (r.verse IS NULL OR v.verse = r.verse) AND r.ts >= v.loaded_at AND (v.deleted_at IS NULL OR r.ts < v.deleted_at))
+  UNION ALL
+  SELECT * FROM refs r
+  WHERE chapter IS NULL AND coalesce(source, book, CAST(verse AS VARCHAR)) IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM verses v WHERE (r.source IS NULL OR v.source = r.source) AND (r.book IS NULL OR v.book = r.book)
+      AND (r.verse IS NULL OR v.verse = r.verse) AND r.ts >= v.loaded_at AND (v.deleted_at IS NULL OR r.ts < v.deleted_at))
+)
+SELECT DISTINCT ref_table, ref_id, CAST(verse AS VARCHAR) AS ref_key,
+  concat(CAST(source IS NOT NULL AS INT), CAST(book IS NOT NULL AS INT), CAST(chapter IS NOT NULL AS INT), CAST(verse IS NOT NULL AS INT)) AS null_mask,
+  strftime(ts, '%Y-%m') AS ref_month
+FROM lost
+UNION
+SELECT 'findings', finding_id, code, '1', strftime(found_at, '%Y-%m')
+FROM findings f
+WHERE code IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM rule_codes c WHERE c.code = f.code AND f.found_at >= c.introduced_at AND (c.retired_at IS NULL OR f.found_at < c.retired_at))"""
+
 oracles = {
+    "p4_masks": _MASKS,
     "p4_found": _SQL + " SELECT * FROM lost",
     "p4_report": _SQL + " SELECT ref_table, ref_month, count(*) AS n_orphans, count(DISTINCT ref_id) AS n_records FROM lost GROUP BY 1, 2",
     "p4_partial": """
